@@ -1,0 +1,58 @@
+"""Joins that hold when one key has a third of all rows and when a dimension outgrows memory."""
+
+from pyspark.sql import functions as F
+
+ROWS_PER_TASK = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def salted_join(left, right, on, how="inner", rows_per_task=ROWS_PER_TASK, count_on=None):
+    """Join on one key column where left may have hot keys and right has at most one row per key.
+
+    A key with more than rows_per_task rows on the left is split over ceil(rows / rows_per_task) salts and its
+    single right row is repeated once per salt. The salt is a hash of the row, so a rerun task yields the same
+    split. At most |left| / rows_per_task keys can be hot, which bounds the broadcast list of them (a million
+    short rows for 10^12 rows on the left). count_on may name a cheaper frame with the same keys to count.
+    """
+    counted = left if count_on is None else count_on
+    hot = (
+        counted.groupBy(on)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > rows_per_task)
+        .select(on, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
+    )
+    row_hash = F.xxhash64(*[c for c in left.columns if c != on])
+    # A null key matches nothing, so any salt is right for it; spreading keeps left-join nulls off one task.
+    salt = (
+        F.when(F.col(on).isNull(), F.pmod(row_hash, F.lit(4096)))
+        .when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))
+        .otherwise(F.lit(0))
+        .cast("int")
+    )
+    split = left.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_salts")
+    repeated = (
+        right.join(F.broadcast(hot), on, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        .drop("_salts")
+    )
+    return split.join(repeated, [on, "_salt"], how).drop("_salt")
+
+
+def _row_bytes(df):
+    widths = [
+        F.coalesce(F.octet_length(c), F.lit(0)) + 16 if t == "string" else F.lit(16) for c, t in df.dtypes
+    ]
+    return sum(widths[1:], widths[0])
+
+
+def fits_broadcast(df, limit=BROADCAST_BYTES):
+    """Measure the whole frame and tell whether a broadcast of it stays under the limit."""
+    size = df.agg(F.sum(_row_bytes(df).cast("bigint")).alias("bytes")).first()["bytes"]
+    return (size or 0) <= limit
+
+
+def lookup_join(left, right, on, how="left", limit=BROADCAST_BYTES, rows_per_task=ROWS_PER_TASK):
+    """Join with a dimension: broadcast when its measured size is under the limit, else salted_join."""
+    if fits_broadcast(right, limit):
+        return left.join(F.broadcast(right), on, how)
+    return salted_join(left, right, on, how, rows_per_task)
