@@ -61,13 +61,14 @@ def exact_percentiles(df, column, fractions, single_task_rows=SINGLE_TASK_ROWS):
     third of all rows is one row afterwards; the distinct values are then ranked by running count.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    n = values.count()
-    if n == 0:
+    # One pass over the input, however often the distinct values are read below.
+    counts = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "values")
+    distinct, n = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if distinct == 0:
         return [None] * len(fractions)
     spots = [((n - 1) * f) for f in fractions]
     places = sorted({int(p) for s in spots for p in (math.floor(s), math.ceil(s))})
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    if n <= single_task_rows:
+    if distinct <= single_task_rows:
         running = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v")))
     else:
         parts = _sorted_parts(counts, ["v"])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallylake.functions.expressions import MICROS_PER_DAY, days_as_micros, period_label, ratio, round_dp
 from tallylake.operators.joins import BROADCAST_BYTES, ROWS_PER_TASK, lookup_join
+from tallylake.operators.shared_tables import materialize
 
 
 def _lines():
@@ -269,10 +270,12 @@ def on_time_counts(totals):
 
 def delivery_histogram(totals, bins=20):
     """Delivered lines per equal-width bin of delivery days, empty bins included, and the mean over all bins."""
-    delivered = totals.where(_delivered() & F.col("actual_delivery_days").isNotNull())
     days = F.col("actual_delivery_days")
+    delivered = totals.where(_delivered() & days.isNotNull()).groupBy(days).agg(F.sum(_lines()).alias("lines"))
+    # The distinct durations are read twice: for their range, then per bin.
+    delivered = materialize(delivered, "durations")
     low, high, micros, lines = delivered.agg(
-        F.min(days), F.max(days), F.sum(days_as_micros(days) * _lines()), F.sum(_lines())
+        F.min(days), F.max(days), F.sum(days_as_micros(days) * F.col("lines")), F.sum("lines")
     ).first()
     if lines is None:
         low, high, mean = 0.0, 1.0, None
@@ -281,7 +284,7 @@ def delivery_histogram(totals, bins=20):
         if low == high:
             low, high = low - 0.5, high + 0.5
     bin_number = F.least(F.floor((days - low) / F.lit(high - low) * bins), F.lit(bins - 1)).cast("int") + 1
-    counts = delivered.groupBy(bin_number.alias("bin")).agg(F.sum(_lines()).alias("lines"))
+    counts = delivered.groupBy(bin_number.alias("bin")).agg(F.sum("lines").alias("lines"))
     width = F.lit(high - low) / bins
     all_bins = totals.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(counts, "bin", "left").select(

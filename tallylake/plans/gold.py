@@ -89,17 +89,18 @@ def totals_from_fact(fact):
     )
 
 
-def order_lines(orders, items, payments, allocate=False, rows_per_task=ROWS_PER_TASK):
+def order_lines(orders, items, payments, allocate=False, rows_per_task=ROWS_PER_TASK, counted_items=None):
     """Order lines with their order's columns and payment_value: the order's payment, else the line's goods value.
 
     The payment repeats on each line. With allocate, payment_allocated spreads it over the lines by goods value, so
-    that it adds up to what was paid.
+    that it adds up to what was paid. counted_items may name the items without looked-up columns for the counts.
     """
+    counted_items = items if counted_items is None else counted_items
     order_side = orders.join(payment_totals(payments), "order_id", "left")
     if allocate:
-        totals = line_totals(items).select("order_id", "line_count", "goods_value")
+        totals = line_totals(counted_items).select("order_id", "line_count", "goods_value")
         order_side = order_side.join(totals, "order_id")
-    lines = salted_join(items, order_side, "order_id", "inner", rows_per_task)
+    lines = salted_join(items, order_side, "order_id", "inner", rows_per_task, counted_items)
     paid = F.col("order_payment")
     lines = lines.withColumn("payment_value", F.coalesce(paid, _goods()).cast(MONEY))
     if allocate:
@@ -125,7 +126,7 @@ def fact_orders(orders, items, payments, customers, products, limit=BROADCAST_BY
         items.select("order_id", "order_item_id", "product_id", "price", "freight_value"),
         product_keys, "product_id", "left", limit, rows_per_task,
     )
-    lines = order_lines(keyed_orders, keyed_items, payments, True, rows_per_task)
+    lines = order_lines(keyed_orders, keyed_items, payments, True, rows_per_task, items)
     return lines.withColumn("date_key", date_key(F.col("order_purchase_timestamp"))).select(*GOLD["fact_orders"])
 
 
@@ -139,4 +140,4 @@ def fact_orders_denormalised(orders, items, payments, customers, products, limit
         totals, "order_id", "left"
     )
     lines = lookup_join(items, categories, "product_id", "left", limit, rows_per_task)
-    return salted_join(lines, order_side, "order_id", "inner", rows_per_task)
+    return salted_join(lines, order_side, "order_id", "inner", rows_per_task, items)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallylake.functions.expressions import MICROS_PER_DAY, days_as_micros, percent_text, ratio, round_dp
 from tallylake.operators.ranking import SINGLE_TASK_ROWS, exact_percentiles
+from tallylake.operators.shared_tables import materialize
 
 # The names of the four tests in the report.
 NULL_TEST = "Primary Key Null Rate (order_id)"
@@ -187,7 +188,8 @@ def drift_report(df, column, baseline=None, **options):
     The index compares the month's shares of the decile bins of the baseline month, by default the first one; an
     empty bin counts as 1e-6. Months are summed in one aggregate; only month rows go further.
     """
-    dated = df.where(F.col("order_year").isNotNull())
+    # Read three times below: the first month, the baseline's deciles, the months.
+    dated = materialize(df.where(F.col("order_year").isNotNull()).select("order_year", "order_month", column), "drift")
     if baseline is None:
         first = dated.agg(F.min(F.struct("order_year", "order_month")).alias("m")).first()["m"]
         baseline = (first[0], first[1]) if first else (0, 0)
@@ -206,14 +208,14 @@ def drift_report(df, column, baseline=None, **options):
         F.stddev_samp(value).alias("std"),
         *[F.count_if(F.col("bin") == i).alias(f"b{i}") for i in range(_BINS)],
     )
-    everything = Window.partitionBy()
-    psi = F.lit(0.0)
-    for i in range(_BINS):
-        monthly = monthly.withColumn(f"p{i}", F.greatest(ratio(F.col(f"b{i}"), F.col("n")), F.lit(1e-6)))
-    for i in range(_BINS):
-        base = F.max(F.when(in_baseline, F.col(f"p{i}"))).over(everything)
-        psi = psi + (F.col(f"p{i}") - base) * F.log(F.col(f"p{i}") / base)
-    return monthly.select(
+    floor = F.lit(1e-6)
+    shares = monthly.withColumns({f"p{i}": F.greatest(ratio(F.col(f"b{i}"), F.col("n")), floor) for i in range(_BINS)})
+    # One row per month reaches this window.
+    months = Window.partitionBy()
+    bases = {f"q{i}": F.max(F.when(in_baseline, F.col(f"p{i}"))).over(months) for i in range(_BINS)}
+    terms = [(F.col(f"p{i}") - F.col(f"q{i}")) * F.log(F.col(f"p{i}") / F.col(f"q{i}")) for i in range(_BINS)]
+    psi = sum(terms[1:], terms[0])
+    return shares.withColumns(bases).select(
         "order_year",
         "order_month",
         "row_count",

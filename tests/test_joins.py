@@ -1,0 +1,51 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tallylake.operators.joins import fits_broadcast, lookup_join, salted_join
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    """A third of the left rows have one key, a tenth have none, some keys have no partner."""
+    key = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 50)
+    left = spark.range(3000).select(key.alias("k"), F.col("id").alias("line"))
+    right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("tens"))
+    return left.cache(), right.cache()
+
+
+def as_rows(df):
+    return sorted(map(tuple, df.select("k", "line", "tens").collect()), key=repr)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("rows_per_task", [10, 100, 1_000_000])
+def test_salted_join_equals_plain_join(sides, how, rows_per_task):
+    left, right = sides
+    assert as_rows(salted_join(left, right, "k", how, rows_per_task)) == as_rows(left.join(right, "k", how))
+
+
+def test_salted_join_splits_the_hot_key(sides, spark):
+    left, right = sides
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = salted_join(left, right, "k", "left", 50)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sizes.sum() == 3000
+    assert sizes.max() < 1000
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_lookup_join_on_either_side_of_the_limit(sides, limit):
+    left, right = sides
+    assert fits_broadcast(right, limit) == (limit > 0)
+    assert as_rows(lookup_join(left, right, "k", "left", limit, 50)) == as_rows(left.join(right, "k", "left"))
+
+
+def test_size_check_counts_text(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert not fits_broadcast(wide, 10_000)
+    assert fits_broadcast(wide, 11_000)
