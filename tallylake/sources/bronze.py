@@ -13,10 +13,20 @@ from tallylake.schemas import RAW
 _CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
 
 
-def list_files(spark, folder, glob="*.{csv,json}"):
+def list_files(spark, folder, glob="*.{csv,json}", deep=False):
     """Path, length and modification time of the raw files; their content is not read. A missing folder raises."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return files.select("path", "length", "modificationTime")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", deep)
+    return files.load(folder).select("path", "length", "modificationTime")
+
+
+def _names(spark, source):
+    """Names of the raw tables in a folder: each a .csv or .json file, or a folder of parts with such a name."""
+    parts = F.split("path", "/")
+    last, parent = F.element_at(parts, -1), F.element_at(parts, -2)
+    is_part = parent.rlike(r"\.(csv|json)$")
+    place = F.element_at(parts, F.when(is_part, -3).otherwise(-2))
+    found = list_files(spark, source, deep=True).where(place == source.rstrip("/").rsplit("/", 1)[-1])
+    return [row["name"] for row in found.select(F.when(is_part, parent).otherwise(last).alias("name")).distinct().collect()]
 
 
 def land(spark, source, bronze, on=None):
@@ -26,14 +36,7 @@ def land(spark, source, bronze, on=None):
     under its own name. A rerun for the same date overwrites that date only.
     """
     on = on or datetime.date.today()
-    names = [
-        row["name"]
-        for row in list_files(spark, source)
-        .select(F.element_at(F.split("path", "/"), -1).alias("name"))
-        .distinct()
-        .orderBy("name")
-        .collect()
-    ]
+    names = sorted(_names(spark, source))
     if not names:
         warnings.warn(f"no .csv or .json files in {source}", stacklevel=2)
     day = f"{bronze}/year={on.year}/month={on.month:02d}/day={on.day:02d}"
