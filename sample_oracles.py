@@ -339,7 +339,7 @@ _COHORTS = """
 _STREAM = """
     SELECT date_trunc('hour', ts) AS window_start, event_type, COUNT(*) AS events,
            CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-    FROM events
+    FROM (SELECT DISTINCT event_id, ts, event_type, value FROM events)
     GROUP BY 1, 2
     HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events)
 """

@@ -1,8 +1,9 @@
 """From raw files to reports, one layer after the other. Each layer is written before the next one reads it."""
 
+from tallylake.operators.dedup import POSITION, split_null_keys
 from tallylake.operators.ranking import SINGLE_TASK_ROWS
 from tallylake.plans import analytics, gold, quality, rfm, silver
-from tallylake.schemas import PARTITIONS
+from tallylake.schemas import KEYS, PARTITIONS
 from tallylake.sources.bronze import land, read_bronze
 from tallylake.sources.tables import (
     audit_counts,
@@ -22,11 +23,18 @@ _CLEAN = {
 }
 
 
-def build_silver(spark, bronze, silver_path, fmt="csv", on=None):
-    """Clean every table of one Bronze date and write it."""
+def build_silver(spark, bronze, silver_path, fmt="csv", on=None, quarantine=False):
+    """Clean every table of one Bronze date and write it.
+
+    With quarantine, rows with a null in their key are kept out of Silver and written, raw, to <table>_quarantine.
+    """
     for table, clean in _CLEAN.items():
+        raw = read_bronze(spark, bronze, table, fmt, on)
+        if quarantine:
+            raw, broken = split_null_keys(raw, KEYS[table])
+            write_table(broken.drop(POSITION), f"{silver_path}/{table}_quarantine")
         partition_by = ["order_year", "order_month"] if table == "orders" else ()
-        write_table(clean(read_bronze(spark, bronze, table, fmt, on)), f"{silver_path}/{table}", partition_by)
+        write_table(clean(raw), f"{silver_path}/{table}", partition_by)
 
 
 def silver_tables(spark, silver_path):
@@ -58,11 +66,11 @@ def build_reports(spark, gold_path, reports):
     write_csv_report(best, f"{reports}/top_categories_per_state.csv")
 
 
-def run_lakehouse(spark, source, lake, on=None, fmt="csv", fail_on_error=False):
+def run_lakehouse(spark, source, lake, on=None, fmt="csv", fail_on_error=False, quarantine=False):
     """Land, clean, audit, model and report. Returns the folders of the layers and the verdict of the gate."""
     paths = {layer: f"{lake}/{layer}" for layer in ("bronze", "silver", "gold", "reports")}
     land(spark, source, paths["bronze"], on)
-    build_silver(spark, paths["bronze"], paths["silver"], fmt, on)
+    build_silver(spark, paths["bronze"], paths["silver"], fmt, on, quarantine)
     clean = silver_tables(spark, paths["silver"])
     stages = {(t, "bronze"): read_bronze(spark, paths["bronze"], t, fmt, on) for t in clean}
     stages.update({(t, "silver"): df for t, df in clean.items()})

@@ -3,7 +3,7 @@ import datetime
 import pytest
 
 from tallylake.plans import analytics, gold, quality
-from tallylake.plans.lakehouse import run_lakehouse
+from tallylake.plans.lakehouse import build_silver, run_lakehouse
 from tallylake.sources import sample_tables
 from tallylake.sources.tables import (
     create_gold_tables,
@@ -171,3 +171,24 @@ def test_gate_can_stop_the_run(spark, tmp_path):
     slow.coalesce(1).write.option("header", True).csv(f"{raw}/orders_raw.csv")
     with pytest.raises(quality.QualityGateError):
         run_lakehouse(spark, str(raw), str(tmp_path), ON, fail_on_error=True)
+
+
+def test_quarantine_keeps_null_keys_out_of_silver(spark, tmp_path):
+    day = tmp_path / "bronze" / "year=2026" / "month=01" / "day=02"
+    day.mkdir(parents=True)
+    header = {
+        "customers": "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n",
+        "products": "product_id,product_category_name,product_weight_g,product_length_cm,product_height_cm,product_width_cm\n",
+        "orders": "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+                  "order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date\n",
+        "order_items": "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n",
+        "order_payments": "order_id,payment_sequential,payment_type,payment_installments,payment_value\n",
+    }
+    for table, text in header.items():
+        body = "o1,c1,shipped,,,,,\n,c2,shipped,,,,,\n" if table == "orders" else ""
+        (day / f"{table}_raw.csv").write_text(text + body)
+    for quarantine, kept in ((False, 2), (True, 1)):
+        silver = str(tmp_path / f"silver-{quarantine}")
+        build_silver(spark, str(tmp_path / "bronze"), silver, quarantine=quarantine)
+        assert read_table(spark, f"{silver}/orders").count() == kept
+    assert rows(read_table(spark, f"{silver}/orders_quarantine"), "order_id", "customer_id") == [(None, "c2")]
