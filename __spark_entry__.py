@@ -111,17 +111,21 @@ def _audit(t):
     return audit_counts(stages)
 
 
+# Each join meets rows that are already summed per its key and the remaining groups.
 _STAR_SQL = """
-WITH sold AS (
-    SELECT f.customer_key, p.product_category_name, SUM(f.payment_value) AS revenue, COUNT(*) AS line_count
-    FROM fact_orders f JOIN dim_products p USING (product_key)
-    WHERE f.order_status <> 'canceled'
-    GROUP BY f.customer_key, p.product_category_name
+WITH bought AS (
+    SELECT customer_key, product_key, SUM(payment_value) AS revenue, COUNT(*) AS line_count
+    FROM fact_orders WHERE order_status <> 'canceled'
+    GROUP BY customer_key, product_key
+), per_city AS (
+    SELECT customer_city, product_key, SUM(revenue) AS revenue, SUM(line_count) AS line_count
+    FROM bought JOIN dim_customers USING (customer_key)
+    GROUP BY customer_city, product_key
 )
-SELECT c.customer_city, s.product_category_name,
-       CAST(SUM(s.revenue) AS DOUBLE) AS revenue, SUM(s.line_count) AS line_count
-FROM sold s JOIN dim_customers c USING (customer_key)
-GROUP BY c.customer_city, s.product_category_name
+SELECT customer_city, product_category_name,
+       CAST(SUM(revenue) AS DOUBLE) AS revenue, SUM(line_count) AS line_count
+FROM per_city JOIN dim_products USING (product_key)
+GROUP BY customer_city, product_category_name
 """
 
 

@@ -11,6 +11,8 @@ from tallylake.schemas import RAW
 
 # Quoted empty text and unquoted nothing stay different, and blanks around a value are part of it.
 _CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+# Not Spark's default name, which would make the column special again when the landed file is read.
+_MISFIT = "_misfit_line"
 
 
 def list_files(spark, folder, glob="*.{csv,json}", deep=False):
@@ -33,7 +35,8 @@ def land(spark, source, bronze, on=None):
     """Copy every raw .csv and .json file of source, all values as text, into the partition of a date.
 
     Returns the names landed. Each file is read and written in parallel splits, so it lands as a folder of parts
-    under its own name. A rerun for the same date overwrites that date only.
+    under its own name. A CSV line that does not fit its header lands with the whole line in _misfit_line. A rerun
+    for the same date overwrites that date only.
     """
     on = on or datetime.date.today()
     names = sorted(_names(spark, source))
@@ -45,16 +48,19 @@ def land(spark, source, bronze, on=None):
         if name.endswith(".json"):
             spark.read.text(path).write.mode("overwrite").text(f"{day}/{name}")
         else:
-            text = spark.read.options(**_CSV).csv(path)
+            header = spark.read.options(**_CSV).csv(path).columns
+            columns = ", ".join(f"`{c}` string" for c in [*header, _MISFIT])
+            text = spark.read.schema(columns).options(**_CSV, columnNameOfCorruptRecord=_MISFIT).csv(path)
             text.write.mode("overwrite").options(**_CSV, emptyValue='""').csv(f"{day}/{name}")
     return names
 
 
 def partitions(spark, bronze, table, fmt="csv"):
-    """The (year, month, day) partitions in which a table has landed. Lists files; reads none."""
+    """The (year, month, day, folder) partitions in which a table has landed. Lists files; reads none."""
     files = spark.read.format("binaryFile").option("basePath", bronze)
     found = files.load(f"{bronze}/year=*/month=*/day=*/{table}_raw.{fmt}")
-    return found.select(*[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")]).distinct()
+    folder = F.regexp_extract("path", r"^(.*/day=\d+)/", 1).alias("folder")
+    return found.select(*[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")], folder).distinct()
 
 
 def read_raw(spark, path, table, fmt="csv"):
@@ -76,12 +82,10 @@ def read_raw(spark, path, table, fmt="csv"):
 
 def read_bronze(spark, bronze, table, fmt="csv", on=None):
     """Read one landed table: the partition of a date, or the latest one when no date is given."""
-    if on is None:
-        newest = partitions(spark, bronze, table, fmt).orderBy(F.desc("year"), F.desc("month"), F.desc("day")).first()
-        if newest is None:
-            raise FileNotFoundError(f"no {table}_raw.{fmt} has landed in {bronze}")
-        year, month, day = newest
-    else:
-        year, month, day = on.year, on.month, on.day
-    folder = f"{bronze}/year={year}/month={month:02d}/day={day:02d}"
-    return read_raw(spark, f"{folder}/{table}_raw.{fmt}", table, fmt)
+    landed = partitions(spark, bronze, table, fmt)
+    if on is not None:
+        landed = landed.where(F.make_date("year", "month", "day") == F.lit(on))
+    newest = landed.orderBy(F.desc("year"), F.desc("month"), F.desc("day")).first()
+    if newest is None:
+        raise FileNotFoundError(f"no {table}_raw.{fmt} in {bronze} for {on or 'any date'}")
+    return read_raw(spark, f"{newest['folder']}/{table}_raw.{fmt}", table, fmt)

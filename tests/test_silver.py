@@ -76,7 +76,28 @@ def test_plain_files_in_bronze_are_readable(spark, tmp_path):
     day = tmp_path / "bronze" / "year=2024" / "month=1" / "day=31"
     day.mkdir(parents=True)
     (day / "orders_raw.csv").write_text(ORDERS)
-    assert read_raw(spark, str(day / "orders_raw.csv"), "orders").count() == 5
+    assert read_bronze(spark, str(tmp_path / "bronze"), "orders").count() == 5
+    with pytest.raises(FileNotFoundError):
+        read_bronze(spark, str(tmp_path / "bronze"), "orders", on=datetime.date(2024, 1, 30))
+
+
+def test_lines_that_do_not_fit_the_header_land_whole(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "order_payments_raw.csv").write_text(
+        "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+        "a,1,boleto,1,5.0\nb,1,boleto,1,6.0,surplus\nc,1\nd,1,\" kept, \",,\"\"\n"
+    )
+    land(spark, str(folder), str(tmp_path / "bronze"), datetime.date(2025, 1, 2))
+    path = str(tmp_path / "bronze/year=2025/month=01/day=02/order_payments_raw.csv")
+    landed = spark.read.options(header=True, escape='"', ignoreLeadingWhiteSpace=False).csv(path)
+    assert rows(landed, "order_id", "_misfit_line") == [
+        ("a", None), ("b", "b,1,boleto,1,6.0,surplus"), ("c", "c,1"), ("d", None)
+    ]
+    raw = read_bronze(spark, str(tmp_path / "bronze"), "order_payments")
+    assert rows(raw, "order_id", "payment_type", "payment_installments") == [
+        ("a", "boleto", "1"), ("b", "boleto", "1"), ("c", None, None), ("d", " kept, ", None)
+    ]
 
 
 def test_header_decides_the_columns(spark, tmp_path):
