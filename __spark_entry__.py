@@ -17,6 +17,15 @@ from tallylake.sources import sample_tables as sample  # noqa: E402
 from tallylake.sources.tables import audit_counts, register_views, run_sql  # noqa: E402
 from tallylake.streaming import landing  # noqa: E402
 
+try:  # the training-text operators and their pipeline can be left out of an installation
+    import corpus_pipeline
+    from tallylake.llm import oracles as llm_oracles
+    from tallylake.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not missing.name.startswith(("tallylake.llm", "corpus_pipeline")):
+        raise
+    corpus_pipeline = llm_oracles = llm_queries = None
+
 
 class _Retail:
     """Silver and Gold tables over the sample tables of one folder, each built when it is asked for."""
@@ -213,8 +222,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(build) for name, build in _QUERIES.items()}
+    found = {name: _query(build) for name, build in _QUERIES.items()}
+    if llm_queries:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return sample_oracles.oracle_sql()
+    found = sample_oracles.oracle_sql()
+    if llm_oracles:
+        found |= llm_oracles.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
