@@ -44,7 +44,7 @@ class Automaton:
             self.born.setdefault(x, []).append(born[state])
         self.target = [number[s] for s in target]
         self.size, self.n_states = size, len(parent)
-        self.known = byte_bpe.Remembered(500_000)
+        self.known = {}
         self.longest = {}
         for token in self.ids:
             self.longest[token[:2]] = max(self.longest.get(token[:2], 1), len(token))
@@ -81,13 +81,6 @@ class Automaton:
 
     def reads(self, state, token):
         """Whether a state has an arc for a token; its target is self.target[token]."""
-        key = state * self.size + token
-        known = self.known.get(key)
-        if known is None:
-            known = self.known[key] = self._look_up(state, token)
-        return known
-
-    def _look_up(self, state, token):
         x, later = token, -1
         while x >= 0:
             starts = self.start.get(x)
@@ -104,29 +97,35 @@ class Automaton:
         Longest arcs are tried first. Each prefix has one path only, so a place from which the end can't be reached is
         left for good, and the work is bounded by length times the longest token.
         """
-        whole = self.ids.get(word)
-        if whole is not None and self.reads(0, whole) and len(word) > 1:
-            return (whole,)
-        n, at, state, dead, path, ids = len(word), 0, 0, set(), [], []
-        self.known.make_room()
-        size = n
+        ids, longest, known, target = self.ids, self.longest, self.known, self.target
+        n, at, state, most, path, out, dead = len(word), 0, 0, len(word), [], [], None
         while at < n:
-            size = min(size, n - at, self.longest.get(word[at : at + 2], 1))
+            size = longest.get(word[at : at + 2], 1)
+            if size > most:
+                size = most
             while size:
-                token = self.ids.get(word[at : at + size])
-                if token is not None and at + size not in dead and self.reads(state, token):
-                    break
+                token = ids.get(word[at : at + size])
+                if token is not None and (dead is None or at + size not in dead):
+                    key = state * self.size + token
+                    reads = known.get(key)
+                    if reads is None:
+                        reads = known[key] = self.reads(state, token)
+                    if reads:
+                        break
                 size -= 1
             if size:
                 path.append((at, state, size))
-                ids.append(token)
-                at, state, size = at + size, self.target[token], n
+                out.append(token)
+                at += size
+                state = target[token]
+                most = n - at
             else:
+                dead = dead or set()
                 dead.add(at)
                 at, state, size = path.pop()
-                ids.pop()
-                size -= 1
-        return tuple(ids)
+                out.pop()
+                most = size - 1
+        return tuple(out)
 
 
 @lru_cache(maxsize=2)
@@ -137,9 +136,13 @@ def automaton(path):
 @lru_cache(maxsize=2)
 def _encoder(path):
     bpe, machine = byte_bpe.load(path), automaton(path)
-    cache = byte_bpe.PieceCache(
-        lambda words: [machine.encode(w.encode()) for w in words], lambda ids: tuple(chain.from_iterable(ids))
-    )
+
+    def solve(words):
+        if len(machine.known) > 500_000:
+            machine.known.clear()
+        return [machine.encode(w.encode()) for w in words]
+
+    cache = byte_bpe.PieceCache(solve, lambda ids: tuple(chain.from_iterable(ids)))
 
     def encode(texts):
         cut = [bpe.segments(t or "") for t in texts]
@@ -154,7 +157,7 @@ def _encoder(path):
                     ids.append(p)
                 else:
                     ids.extend(bare[p[0]])
-                    ids.extend(chain.from_iterable(map(spaced, p[1:])))
+                    ids.extend(chain.from_iterable(map(spaced, p[1])))
             out.append(ids)
         return out
 

@@ -1,7 +1,9 @@
 """What a byte-level BPE tokenizer file says, and how its texts fall into pre-tokens."""
 
+import gc
 import json
 from functools import lru_cache
+from itertools import chain
 
 import regex
 
@@ -9,6 +11,8 @@ import regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
+#: One-character pre-tokens that often end a piece.
+MARKS = frozenset(".,;:!?)|")
 PRE_TOKEN = regex.compile(PATTERN)
 LOOSE_SPACE = regex.compile(r" (?:\s|\Z)")
 OPENING_SPACE = regex.compile(r" (?=\S)")
@@ -66,46 +70,72 @@ def load(path):
 
 
 def pieces(segment):
-    """A segment cut at each space that opens a word; all pieces but the first have lost that space.
+    """(first, others): a segment cut at each space that opens a word; the others have lost that space.
 
     Such a space always starts a pre-token, and the piece before it ends one, so pieces can be encoded on their own and
     remembered: words repeat, whole texts don't.
     """
-    return OPENING_SPACE.split(segment) if LOOSE_SPACE.search(segment) else segment.split(" ")
+    found = OPENING_SPACE.split(segment) if LOOSE_SPACE.search(segment) else segment.split(" ")
+    return found[0], found[1:]
 
 
 class Remembered(dict):
-    """piece -> result, emptied when it outgrows its bound."""
+    """piece -> result of a bounded number of recent pieces; the generation before is kept aside and taken from."""
 
-    def __init__(self, most=300_000):
+    def __init__(self, most=500_000, most_chars=10_000_000):
         super().__init__()
-        self.most = most
+        self.most, self.most_chars = most, most_chars
+        self.chars, self.older = 0, {}
+
+    def put(self, pieces, results):
+        for piece, result in zip(pieces, results, strict=True):
+            self[piece] = result
+            self.chars += len(piece)
 
     def make_room(self):
-        if len(self) > self.most:
+        if len(self) > self.most or self.chars > self.most_chars:
+            self.older = dict(self)
             self.clear()
+            self.chars = 0
+
+    def unknown(self, pieces):
+        """Those of a set of pieces that are not known; what the older generation knows is taken over."""
+        new = pieces.difference(self)
+        if self.older and new:
+            seen = new.intersection(self.older)
+            self.put(seen, map(self.older.__getitem__, seen))
+            new -= seen
+        return new
 
 
 class PieceCache:
-    """Results for pieces, with and without their space, and for pre-tokens; solve(pre-tokens) does the unknown ones.
+    """Results for pieces, without (bare) and with their space (spaced), from solve(pre-tokens).
 
     join(results of a piece's pre-tokens) makes the piece's result.
     """
 
     def __init__(self, solve, join):
         self.solve, self.join = solve, join
-        self.bare, self.spaced, self.tokens = Remembered(), Remembered(), Remembered()
+        self.bare, self.spaced, self.tokens = Remembered(50_000), Remembered(), Remembered(100_000)
+        gc.set_threshold(500_000)  # large dictionaries of strings hold no cycles; searching them often costs time
 
-    def learn(self, texts_pieces):
-        """Make every piece known. texts_pieces: lists of pieces, the first of each without a space."""
+    def learn(self, cut):
+        """Make every piece of the pairs from pieces() known."""
         for known in (self.bare, self.spaced, self.tokens):
             known.make_room()
-        firsts = {p[0] for p in texts_pieces} - self.bare.keys()
-        others = set().union(*[p[1:] for p in texts_pieces]) - self.spaced.keys()
-        cut = [(self.bare, p, PRE_TOKEN.findall(p)) for p in firsts]
-        cut += [(self.spaced, p, PRE_TOKEN.findall(" " + p)) for p in others]
-        unknown = list({t for _, _, ts in cut for t in ts} - self.tokens.keys())
-        self.tokens.update(zip(unknown, self.solve(unknown), strict=True))
-        token = self.tokens.__getitem__
-        for known, piece, ts in cut:
-            known[piece] = self.join(list(map(token, ts)))
+        spaced, tokens, join = self.spaced, self.tokens, self.join
+        firsts = self.bare.unknown({first for first, _ in cut})
+        others = spaced.unknown(set(chain.from_iterable(rest for _, rest in cut)))
+        # A space and letters are one pre-token, letters and a mark two: no need to run the pattern.
+        words = [p for p in others if p.isalpha()]
+        marked = [p for p in others if p[-1:] in MARKS and p[:-1].isalpha()]
+        spaced.put(words, map(join, zip(self.solve([" " + p for p in words]))))
+        others.difference_update(words, marked)
+        rest = [(self.bare, p, PRE_TOKEN.findall(p)) for p in firsts]
+        rest += [(spaced, p, PRE_TOKEN.findall(" " + p)) for p in others]
+        rest += [(spaced, p, (" " + p[:-1], p[-1])) for p in marked]
+        unknown = list(tokens.unknown({t for _, _, ts in rest for t in ts}))
+        tokens.put(unknown, self.solve(unknown))
+        token = tokens.__getitem__
+        for known, piece, ts in rest:
+            known.put((piece,), (join(list(map(token, ts))),))

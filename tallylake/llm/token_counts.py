@@ -72,11 +72,13 @@ def _counter(path):
     cache = byte_bpe.PieceCache(lambda words: merger.count([w.encode() for w in words]).tolist(), sum)
 
     def count(texts):
-        cut = [[byte_bpe.pieces(s) for s in bpe.segments(t or "")] for t in texts]
-        cache.learn([p for segments in cut for p in segments[::2]])
+        cut = [bpe.segments(t or "") for t in texts]
+        cut = [list(map(byte_bpe.pieces, segments[::2])) for segments in cut]
+        cache.learn([p for segments in cut for p in segments])
         bare, spaced = cache.bare.__getitem__, cache.spaced.__getitem__
         return [
-            sum(bare(p[0]) + sum(map(spaced, p[1:])) for p in segments[::2]) + len(segments) // 2 for segments in cut
+            sum(bare(first) + sum(map(spaced, rest)) for first, rest in segments) + len(segments) - 1
+            for segments in cut
         ]
 
     return count

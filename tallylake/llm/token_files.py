@@ -131,12 +131,27 @@ def _library_encoder(path):
     tokenizer.no_truncation()
     tokenizer.no_padding()
     bpe = byte_bpe.load(path)
-    special = {s: np.array([i], np.uint16 if bpe.size <= 1 << 16 else np.uint32).tobytes() for s, i in bpe.specials.items()}
     kind = np.uint16 if bpe.size <= 1 << 16 else np.uint32
+    special = {s: np.array([i], kind).tobytes() for s, i in bpe.specials.items()}
+    line_end = bpe.ids[b"\n"]
+
+    def ids(text):
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, kind)
 
     def solve(words):
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, kind).tobytes() for e in found]
+        """Pre-tokens that are a space and letters go to the library as the lines of one text; others one by one."""
+        lines = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        found = ids("\n".join([*lines, ""])) if lines else np.zeros(0, kind)
+        ends = np.flatnonzero(found == line_end)
+        data, width = found.tobytes(), found.itemsize
+        stops = (ends * width).tolist()
+        starts = [0, *[e + width for e in stops]]
+        known = {w: data[a:b] for w, a, b in zip(lines, starts, stops)}
+        if len(lines) == len(words):
+            return list(known.values())
+        rest = [w for w in words if w not in known]
+        known.update((w, ids(w).tobytes()) for w in rest)
+        return [known[w] for w in words]
 
     cache = byte_bpe.PieceCache(solve, b"".join)
 
@@ -152,7 +167,7 @@ def _library_encoder(path):
                     parts.append(p)
                 else:
                     parts.append(bare[p[0]])
-                    parts.extend(map(spaced, p[1:]))
+                    parts.extend(map(spaced, p[1]))
             yield np.frombuffer(b"".join(parts), kind)
 
     return encode
