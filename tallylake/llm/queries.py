@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallylake.llm import bpe_automaton, decontamination, quality_rules, storage, token_counts, token_files
+from tallylake.llm import bpe_automaton, decontamination, jaccard_join, quality_rules, storage, token_counts, token_files
 from tallylake.llm.shipping import ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,10 @@ def op4_token_files(spark, sf_dir):
     return token_files.read_tokens(spark, folder, ["ids_crc32"])
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_automaton(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe_automaton.encode(docs, TOKENIZER).select("doc_id", "token_ids")
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op4_token_files": op4_token_files,
+    "op5_jaccard_join": op5_jaccard_join,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op10_quality_rules": op10_quality_rules,
 }
