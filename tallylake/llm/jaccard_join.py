@@ -80,7 +80,7 @@ def bands():
     while low < 1 << 40:
         high = max(low + 1, int(low * BAND_GROWTH))
         k = 2 * high * (100 - PERCENT) // (100 + PERCENT)
-        out.append((low, high, k, k // 2 + 2 + -(-k // 8)))
+        out.append((low, high, k, k // 2 + 2 + -(-k // 16)))
         low = high + 1
     return out
 
@@ -100,7 +100,10 @@ def _signatures(sets, band, frequent):
         content = content.reshape(shape)
         filled = np.bincount(cell, minlength=content.size).reshape(shape) > 0
         lit = np.bincount(cell[rare], minlength=content.size).reshape(shape) > 0
-        thin, bare = [(((x.sum(axis=2) >= 2).sum(axis=1)) < k // 2 + 1)[:, None] for x in (lit, filled)]
+        # A set of n shingles links with sizes up to n * 100 / PERCENT, which bounds its own number of differences.
+        n = np.array([len(s) for s in sets])
+        most = np.minimum(k, (n + n * 100 // PERCENT) * (100 - PERCENT) // (100 + PERCENT))
+        thin, bare = [((x.sum(axis=2) >= 2).sum(axis=1) <= most // 2)[:, None] for x in (lit, filled)]
         numbers, found = [], []
         part = np.arange(parts, dtype=np.uint64) + np.uint64(band << 40)
         for left_out in range(3):
