@@ -1,8 +1,70 @@
-"""The training-text pipeline: documents through five stages, each stored before the next reads it."""
+"""The training-text pipeline: documents through five stages, each stored before the next reads it.
 
-STAGES = []
+Rejected by the quality classifier, then by the quality rules: gone. Near duplicates: the row with the least doc_id of
+each group stays. Documents that hold a benchmark window are gone. What is left is encoded and decoded again.
+"""
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from tallylake.llm import bpe_automaton, decontamination, jaccard_join, quality_model, quality_rules, storage
+from tallylake.llm.shipping import ship
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+#: The stages hold a classifier, set similarity and a tokenizer: SQL can't express their rows.
 ORACLE_SQL = None
 
 
+def _columns(df, docs):
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def accept_quality(spark, docs, sf_dir):
+    """Documents that the quality classifier accepts."""
+    ship(spark)
+    return _columns(quality_model.classify(docs).where("accepted"), docs)
+
+
+def apply_rules(spark, docs, sf_dir):
+    """Documents that the quality rules keep."""
+    return _columns(quality_rules.judge(docs).where("kept"), docs)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near duplicates: that with the least doc_id (of repeated rows with it, one)."""
+    ship(spark)
+    found = jaccard_join.near_duplicates(docs).where("doc_id <=> component_id").select("doc_id").distinct()
+    kept = docs.join(found.withColumnRenamed("doc_id", "_kept"), F.expr("doc_id <=> _kept"), "left_semi")
+    return kept.dropDuplicates(["doc_id"])
+
+
+def drop_benchmark_passages(spark, docs, sf_dir):
+    """Documents without a window of a benchmark item."""
+    ship(spark)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _columns(decontamination.contamination(docs, benchmark).where("not contaminated"), docs)
+
+
+def encode_and_decode(spark, docs, sf_dir):
+    """The documents with token_ids, n_tokens and decoded."""
+    ship(spark)
+    both = bpe_automaton.decode(bpe_automaton.encode(docs, TOKENIZER), TOKENIZER)
+    return both.withColumn("n_tokens", F.size("token_ids").cast("long"))
+
+
+STAGES = [
+    ("quality classifier", accept_quality),
+    ("quality rules", apply_rules),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_benchmark_passages),
+    ("BPE encoding and decoding", encode_and_decode),
+]
+
+
 def run(spark, sf_dir):
-    raise NotImplementedError
+    """All stages over the documents of a folder; each stage's result is stored in the shared folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = storage.stored(stage(spark, docs, sf_dir), f"pipeline-{name.split()[0]}")
+    return docs

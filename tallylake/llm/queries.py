@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallylake.llm import bpe_automaton, decontamination, jaccard_join, quality_rules, storage, token_counts, token_files
+from tallylake.llm import (
+    bpe_automaton, decontamination, jaccard_join, quality_model, quality_rules, storage, token_counts, token_files, toxicity,
+)
 from tallylake.llm.shipping import ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +30,11 @@ def op2_decontamination(spark, sf_dir):
     )
 
 
+def op3_quality_model(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.classify(docs).select("doc_id", "quality_score", "accepted")
+
+
 def op4_token_files(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     folder = token_files.write_tokens(docs, TOKENIZER, storage.new_folder(spark, "token-files"))
@@ -49,6 +56,12 @@ def op8_bpe_automaton(spark, sf_dir):
     )
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.toxicity(docs, _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "p_insult", "p_contempt", "p_toxic", "is_toxic")
+
+
 def op10_quality_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select(
@@ -59,8 +72,10 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
+    "op3_quality_model": op3_quality_model,
     "op4_token_files": op4_token_files,
     "op5_jaccard_join": op5_jaccard_join,
     "op8_bpe_automaton": op8_bpe_automaton,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
