@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallylake.llm import (
-    bpe_automaton, decontamination, jaccard_join, quality_model, quality_rules, storage, token_counts, token_files, toxicity,
+    bpe_automaton, decontamination, jaccard_join, pitman_yor, quality_model, quality_rules, storage, token_counts,
+    token_files, toxicity, warc,
 )
 from tallylake.llm.shipping import ship
 
@@ -45,6 +46,19 @@ def op5_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark, sf_dir):
+    folder = warc.write_warc(_table(spark, sf_dir, "pages"), storage.new_folder(spark, "warc"))
+    records = warc.read_warc(spark, folder, payload=False).where(F.col("record_type").isin("response", "revisit"))
+    return records.select(
+        F.col("source_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to_source_id").cast("long").alias("refers_to"),
+    )
+
+
+def op7_pitman_yor(spark, sf_dir):
+    return pitman_yor.language_scores(_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_automaton(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe_automaton.encode(docs, TOKENIZER).select("doc_id", "token_ids")
@@ -75,6 +89,8 @@ QUERIES = {
     "op3_quality_model": op3_quality_model,
     "op4_token_files": op4_token_files,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_warc": op6_warc,
+    "op7_pitman_yor": op7_pitman_yor,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
