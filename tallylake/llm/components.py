@@ -5,34 +5,40 @@ from pyspark.sql import functions as F
 from tallylake.llm.storage import stored
 
 
+def _down(edges):
+    """Distinct edges from the larger to the smaller node."""
+    return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _contract(edges):
+    """One large-star and one small-star step over edges (a > b)."""
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = _down(large)
+    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _down(small.union(least.select("a", F.col("m").alias("b"))))
+
+
 def connected_components(edges, most_rounds=60):
     """(node, component): each node of edges (a, b) with the least node it is connected to.
 
     Every round points each node's larger neighbours at its least neighbour, then each node and its smaller neighbours
-    at the least one; paths shrink to stars in a number of rounds logarithmic in their length. All steps are grouped
-    minima and equi-joins, so a node with very many neighbours costs no task more than its share.
+    at the least one; paths shrink to stars in a number of rounds logarithmic in their length. Each round is one stored
+    table made of grouped minima and equi-joins, and one aggregate that tells whether only stars are left.
     """
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                 "components")
+    now = stored(_down(edges), "components")
     for _ in range(most_rounds):
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "components")
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.where("a <> b").distinct(), "components")
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = stored(down.groupBy("a").agg(F.min("b").alias("m")), "components")
-        small = down.join(least, "a")
-        new = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b"))
-        ).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        new = stored(new, "components")
-        now = new
-        # Stars: no centre is a leaf, and no leaf has two centres.
-        if now.join(now.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty() and (
-            now.groupBy("a").count().where("count > 1").isEmpty()
-        ):
+        # Stars: no node has two centres, and no centre is a leaf.
+        roles = now.select(F.col("a").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).union(
+            now.select("b", F.lit(0), F.lit(1)).distinct()
+        )
+        if roles.groupBy("node").agg((F.sum("leaf") + F.sum("centre")).alias("n")).where("n > 1").isEmpty():
             break
+        now = stored(_contract(now), "components")
     else:
         raise RuntimeError("components did not settle")
-    stars = now.toDF("node", "component")
-    return stars.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return now.toDF("node", "component").union(
+        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    )

@@ -30,7 +30,7 @@ BAND_GROWTH, BUCKET_ROWS = 1.5, 2_000_000
 #: Frequent shingles that are known to all tasks (8 bytes each), and in how many steps of texts one must repeat.
 FREQUENT, LEAST_STEPS = 1 << 17, 3
 #: Rounds in which groups are compared with one member; what is then still apart is compared in full.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -277,7 +277,7 @@ def _verified(pairs, sets):
 
 
 def _links(members, sets):
-    """Links between nodes that share a signature, enough of them to connect all that are connected.
+    """(node, component) of the nodes that link with others; candidates are the nodes that share a signature.
 
     In a round, every group of a signature whose nodes lie in several components is compared with one of its members,
     another one each round. Near copies in large groups thus come together at a cost linear in the group. Of what is
@@ -289,7 +289,6 @@ def _links(members, sets):
     fits = F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
     for turn in range(STAR_ROUNDS + 1):
         if turn:
-            groups = connected_components(links)
             at = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
         else:
             at = members.withColumn("component", F.col("node"))
@@ -300,15 +299,11 @@ def _links(members, sets):
         ).where("low <> high")
         if turn < STAR_ROUNDS:
             centre = storage.stored(centre.select("signature", "c.node", "c.component", "c.n"), "links")
-            if centre.isEmpty():
-                break
             centre = centre.toDF("signature", "c_node", "c_component", "n_b")
             near = at.join(centre, "signature").where("component <> c_component")
             near = near.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("c_node").alias("b"), "n_b")
         else:
             apart = storage.stored(at.join(centre.select("signature"), "signature", "left_semi"), "links")
-            if apart.isEmpty():
-                break
             other = apart.select("signature", F.col("node").alias("b"), F.col("n").alias("n_b"),
                                  F.col("component").alias("component_b"))
             near = apart.join(other, "signature").where("node < b and component <> component_b")
@@ -316,8 +311,9 @@ def _links(members, sets):
         pairs = near.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = storage.stored(pairs.join(done, ["a", "b"], "left_anti"), "links")
         links = storage.stored(links.union(_verified(pairs, sets)), "links")
+        groups = connected_components(links)
         done = done.union(pairs)
-    return links
+    return groups
 
 
 def near_duplicates(docs, doc_id="doc_id", text="text"):
@@ -353,8 +349,7 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
 
     sets = add_columns(texts, lambda: to_sets, [T.StructField("node", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
     sets = sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]).select("node", "shingles")
-    links = _links(members, storage.stored(sets, "near-duplicates"))
-    groups = connected_components(links)
+    groups = _links(members, storage.stored(sets, "near-duplicates"))
     labelled = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
     named = storage.stored(labelled.join(least, "component").select("node", "component_id"), "near-duplicates")
