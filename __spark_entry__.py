@@ -51,7 +51,7 @@ class _Retail:
 
     @property
     def items(self):
-        return silver.clean_order_items(self.raw("order_items"), unique=True)
+        return silver.clean_order_items(self.raw("order_items"))
 
     @property
     def payments(self):
@@ -149,8 +149,14 @@ def _star_sql(t):
 
 
 def _stream(t):
-    schema = t.spark.read.parquet(f"{t.sf_dir}/events.parquet").schema
-    events = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    """Revenue by window of the events that have arrived; windows still open at the end are not reported yet."""
+    path = f"{t.sf_dir}/events.parquet"
+    table = t.spark.read.parquet(path)
+    reader = t.spark.readStream.schema(table.schema)
+    if any(f.rstrip("/").endswith("/events.parquet") for f in table.inputFiles()):  # one file, not a folder of parts
+        events = reader.option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    else:
+        events = reader.parquet(path)
     return landing.read_available(landing.windowed_revenue(events), "stream-revenue")
 
 

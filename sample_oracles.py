@@ -63,14 +63,7 @@ raw_items AS (
            CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS freight_value
     FROM lineitem
 ),
-items AS (
-    SELECT * EXCLUDE (version) FROM (
-        SELECT *, row_number() OVER (
-            PARTITION BY order_id, order_item_id
-            ORDER BY product_id, seller_id, shipping_limit_date, price, freight_value) AS version
-        FROM raw_items)
-    WHERE version = 1
-),
+items AS (SELECT * FROM raw_items),
 raw_payments AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 1 AS payment_sequential, o_orderpriority AS payment_type,
            CAST(1 + o_orderkey % 10 AS INTEGER) AS payment_installments,
@@ -415,7 +408,7 @@ _GOLD_QUERIES = {
         FROM star""",
     "fact_by_calendar": """
         SELECT CAST(order_year AS INTEGER) AS year, CAST(quarter(order_purchase_timestamp) AS INTEGER) AS quarter,
-               CASE WHEN isodow(order_purchase_timestamp) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+               CAST(isodow(order_purchase_timestamp) >= 6 AS INTEGER) AS is_weekend,
                COUNT(DISTINCT order_id) AS orders, COUNT(*) AS lines, CAST(SUM(payment_value) AS DOUBLE) AS revenue
         FROM lines GROUP BY 1, 2, 3""",
     "star_sql_on_views": """
@@ -425,9 +418,9 @@ _GOLD_QUERIES = {
     "mom_revenue": _monthly("SUM(payment_value)", "COUNT(*)", _ROUNDED),
     "mom_revenue_unrounded": _monthly("SUM(payment_value)", "COUNT(*)", _PLAIN, with_average=False),
     "mom_revenue_order_grain": _monthly(
-        "SUM(COALESCE(order_payment, goods_value)) FILTER (order_item_id = first_line)", "COUNT(DISTINCT order_id)",
+        "SUM(COALESCE(order_payment, goods_value)) FILTER (place = 1)", "COUNT(DISTINCT order_id)",
         _ROUNDED,
-    ).replace("FROM lines", "FROM (SELECT *, MIN(order_item_id) OVER (PARTITION BY order_id) AS first_line FROM lines)"),
+    ).replace("FROM lines", "FROM (SELECT *, row_number() OVER (PARTITION BY order_id) AS place FROM lines)"),
     "monthly_gmv": _gmv(""),
     "monthly_gmv_not_canceled": _gmv("WHERE order_status <> 'canceled'"),
     "top_categories_per_state": """

@@ -6,7 +6,7 @@ MICROS_PER_DAY = 86_400_000_000
 
 # The texts that pandas reads as missing in a CSV field, besides the empty field.
 MISSING_TEXT = [
-    " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 

@@ -13,7 +13,7 @@ def first_per_key(df, keys, order_by=()):
     """Keep one whole row per key: the least by order_by, then file position, then all other columns.
 
     The pick is a min over a struct, so copies collapse before the shuffle and one key that holds a third of
-    the rows costs no more than any other. A row_number window would send all copies of a key to one task.
+    the rows costs no more than any other.
     """
     rest = [c for c in df.columns if c not in keys and c != POSITION]
     first = list(order_by) + ([F.col(POSITION)] if POSITION in df.columns else [])

@@ -1,19 +1,12 @@
 """Intermediate results written once to the folder that all executors share."""
 
-import tempfile
 import uuid
 
 
 def shared_folder(spark):
-    """The folder named by spark.checkpoint.dir; a temporary one only for a local master that names none."""
+    """The folder named by spark.checkpoint.dir, else the warehouse: both are shared by driver and executors."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tallylake-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark, label):

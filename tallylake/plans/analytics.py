@@ -26,9 +26,13 @@ def _delivered():
     return F.col("order_status") == "delivered"
 
 
+# Orders without a readable time form a last month of their own, which precedes none.
+_MONTH_ORDER = [F.asc_nulls_last("order_year"), F.asc_nulls_last("order_month")]
+
+
 def _months():
     """One row per calendar month reaches this window."""
-    return Window.orderBy("order_year", "order_month")
+    return Window.orderBy(*_MONTH_ORDER)
 
 
 def select_lines(df, states=None, years=None, months=None, categories=None, statuses=None):
@@ -68,7 +72,7 @@ def _with_growth(monthly, exact):
             round_dp(F.col("previous"), 2).alias("prev_month_revenue"),
             round_dp(growth, 2).alias("mom_growth_pct"),
         )
-        .orderBy("order_year", "order_month")
+        .orderBy(*_MONTH_ORDER)
     )
 
 
@@ -297,12 +301,15 @@ def delivery_histogram(totals, bins=20):
 
 
 def fact_by_calendar(totals, dates):
-    """Orders, lines and revenue by quarter and weekend flag, through the date dimension's key."""
+    """Orders, lines and revenue by quarter and weekend flag, through the date dimension's key.
+
+    Orders without a readable time (date_key 0) have no calendar day: their group has null columns.
+    """
     per_day = totals.groupBy("date_key").agg(
         F.count("order_id").alias("orders"), F.sum(_lines()).alias("lines"), F.sum("line_revenue").alias("revenue")
     )
     return (
-        per_day.join(dates.select("date_key", "year", "quarter", "is_weekend"), "date_key")
+        per_day.join(dates.select("date_key", "year", "quarter", "is_weekend"), "date_key", "left")
         .groupBy("year", "quarter", "is_weekend")
         .agg(
             F.sum("orders").alias("orders"),
