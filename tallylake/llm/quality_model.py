@@ -161,7 +161,7 @@ def fit(docs, text="text", sample=SAMPLE):
     fields = [T.StructField("votes", T.StringType()), T.StructField("x", T.BinaryType())]
     rows = add_columns(chosen, make, fields).select("h", "votes", "x").orderBy("h").limit(2 * sample).collect()
     x = np.array([np.frombuffer(r.x, "<f4") for r in rows], float).reshape(-1, BUCKETS)
-    return fit_logistic(x, np.array([labels[r.votes] for r in rows])), labels
+    return fit_logistic(x, np.array([labels[r.votes] for r in rows]), ridge=0.1), labels
 
 
 def score(docs, weights, text="text", threshold=THRESHOLD):
