@@ -26,13 +26,14 @@ def _delivered():
     return F.col("order_status") == "delivered"
 
 
-# Orders without a readable time form a last month of their own, which precedes none.
-_MONTH_ORDER = [F.asc_nulls_last("order_year"), F.asc_nulls_last("order_month")]
+def _month_order():
+    """Orders without a readable time form a last month of their own, which precedes none."""
+    return [F.asc_nulls_last("order_year"), F.asc_nulls_last("order_month")]
 
 
 def _months():
     """One row per calendar month reaches this window."""
-    return Window.orderBy(*_MONTH_ORDER)
+    return Window.orderBy(*_month_order())
 
 
 def select_lines(df, states=None, years=None, months=None, categories=None, statuses=None):
@@ -72,7 +73,7 @@ def _with_growth(monthly, exact):
             round_dp(F.col("previous"), 2).alias("prev_month_revenue"),
             round_dp(growth, 2).alias("mom_growth_pct"),
         )
-        .orderBy(*_MONTH_ORDER)
+        .orderBy(*_month_order())
     )
 
 
