@@ -27,8 +27,12 @@ def accept_quality(spark, docs, sf_dir):
 
 
 def apply_rules(spark, docs, sf_dir):
-    """Documents that the quality rules keep."""
-    return _columns(quality_rules.judge(docs).where("kept"), docs)
+    """Documents that the quality rules keep.
+
+    The verdict is stored before it filters: pushed below the projection, the filter would repeat all its expressions.
+    """
+    judged = quality_rules.judge(docs).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("kept").alias("_kept"))
+    return _columns(storage.stored(judged, "quality-rules").where("_kept"), docs)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
