@@ -14,7 +14,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,31 +41,58 @@ def _mix(x):
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word):
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+#: A multiplier with its inverse modulo 2^64, a number for each byte, and the bytes that separate words.
+_STEP = 0xD1342543DE82EF95
+_BACK = pow(_STEP, -1, 1 << 64)
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _M1)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-@lru_cache(maxsize=1)
-def _word_hashes():
-    return _WordHashes()
+@lru_cache(maxsize=64)
+def _powers(base, count):
+    """The powers 0 to count - 1 of a number modulo 2^64."""
+    steps = np.full(count, base, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+def _word_hashes(text):
+    """64-bit hashes of the words of a text, in order: differences of one running sum over its bytes, scaled back.
+
+    Long texts are taken as a whole too: the tables of powers are as long as the longest text, in powers of two.
+    """
+    data = np.frombuffer(text.encode().lower(), np.uint8)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~_SPACE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if not len(edges):
+        return np.zeros(0, np.uint64)
+    room = 1 << max(16, len(data).bit_length())
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _powers(_STEP, room)[: len(data)], out=total[1:])
+    start, end = edges[::2], edges[1::2]
+    return _mix((total[end] - total[start]) * _powers(_BACK, room)[start])
 
 
 def shingle_set(text):
     """Sorted distinct 64-bit shingle hashes of a text: 5 words each, or all words of a shorter text as one."""
-    words = text.encode().lower().split() if text else ()
-    if not words:
+    if not text:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
-    size = min(SHINGLE, len(h))
     with np.errstate(over="ignore"):
+        h = _word_hashes(text)
+        if not len(h):
+            return h
+        size = min(SHINGLE, len(h))
         total = np.full(len(h) - size + 1, size, np.uint64)
         for i in range(size):
             total = total * _M1 + h[i : i + len(total)]
-        return np.unique(_mix(total))
+        return _distinct(_mix(total))
+
+
+def _distinct(numbers):
+    """Sorted distinct numbers."""
+    numbers = np.sort(numbers)
+    return numbers[np.append(True, numbers[1:] != numbers[:-1])]
 
 
 def _key(found):
@@ -151,7 +177,7 @@ def _describe(texts):
     repeated = [None] * len(texts)
     if len(different) > 1:
         every = np.sort(np.concatenate(different))
-        repeated[0] = np.unique(every[1:][every[1:] == every[:-1]]).astype("<u8").tobytes()
+        repeated[0] = _distinct(every[1:][every[1:] == every[:-1]]).astype("<u8").tobytes()
     return [len(s) for s in found], keys, repeated
 
 
@@ -194,7 +220,7 @@ def _signature_rows(docs, buckets, frequent):
 
 def _pack(keys, sets, buckets, frequent):
     owner, signature = all_signatures(sets, frequent)
-    order = np.argsort(signature, kind="stable")
+    order = np.argsort(signature)
     owner, signature = owner[order], signature[order]
     first = np.ones(len(signature), bool)
     first[1:] = signature[1:] != signature[:-1]
@@ -206,16 +232,16 @@ def _pack(keys, sets, buckets, frequent):
         # Entries that are reported at once needn't meet others: they are dealt out by node.
         s, o = signature[chosen], owner[chosen]
         bucket = ((s if alone else keys[o, 0]) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((o, bucket))
+        order = np.argsort(bucket * len(keys) + o)
         s, o, bucket = s[order], o[order], bucket[order]
-        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        cuts = (np.flatnonzero(np.diff(bucket)) + 1).tolist()
         for at, to in zip([0, *cuts], [*cuts, len(s)]) if len(s) else ():
-            nodes, index = np.unique(o[at:to], return_inverse=True)
+            new = np.append(True, o[at + 1 : to] != o[at : to - 1])
             rows["bucket"].append(int(bucket[at]))
             rows["alone"].append(alone)
             rows["signatures"].append(_six_bytes(s[at:to]))
-            rows["owners"].append(index.astype("<u2").tobytes())
-            rows["nodes"].append(keys[nodes].astype("<u8").tobytes())
+            rows["owners"].append((np.cumsum(new) - 1).astype("<u2").tobytes())
+            rows["nodes"].append(keys[o[at:to][new]].astype("<u8").tobytes())
     types = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], list(rows))
 
@@ -241,13 +267,19 @@ def _shared(table):
     out = list(parts[False])
     if parts[True]:
         s, n = np.concatenate([p[0] for p in parts[True]]), np.concatenate([p[1] for p in parts[True]])
+        # Most signatures are of one node: only the others need their nodes in order.
+        order = np.argsort(s)
+        s, n = s[order], n[order]
+        run = np.cumsum(np.append(True, s[1:] != s[:-1])) - 1
+        many = np.bincount(run)[run] > 1
+        s, n = s[many], n[many]
         order = np.lexsort((n[:, 1], n[:, 0], s))
         s, n = s[order], n[order]
         new = np.ones(len(s), bool)
         new[1:] = (s[1:] != s[:-1]) | (n[1:] != n[:-1]).any(axis=1)
         s, n = s[new], n[new]
-        run = np.cumsum(np.append(True, s[1:] != s[:-1])) - 1
-        many = np.bincount(run)[run] > 1
+        run = np.cumsum(np.append(True, s[1:] != s[:-1])[: len(s)]) - 1
+        many = np.bincount(run)[run] > 1 if len(run) else new
         out.append((s[many], n[many]))
     s, n = np.concatenate([p[0] for p in out]), np.concatenate([p[1] for p in out])
     # Signatures of different buckets must differ as numbers too.
