@@ -308,12 +308,94 @@ def _verified(pairs, sets):
     return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a binary, b binary")
 
 
-def _links(members, sets):
+def _prefix_matches(apart, sets, frequent, buckets):
+    """Pairs (a, b) of different components that could link, of the nodes (node, component, n) of apart.
+
+    A node's shingles stand in one order for all: first those that one component alone has, which can't join two, then
+    by the number of nodes that have them, the frequent ones last. Linked sets share one of the first
+    n - ceil(0.8 n) + 1, at places that leave enough shingles behind; few unlike sets do. Shingles that only one
+    component has never leave their bucket, and the frequent ones need no bucket to be known as shared.
+    """
+    spark = apart.sparkSession
+    shared, often = spark.sparkContext.broadcast(frequent), 2**31 - 1
+
+    def deal(batches):
+        for batch in batches:
+            for start, size in steps(batch.column("shingles"), 8_000_000):
+                lot = batch.slice(start, size)
+                found = [np.frombuffer(v.as_buffer(), "<u8") for v in lot.column("shingles")]
+                shingle = np.concatenate(found)
+                owner = np.repeat(np.arange(size), [len(f) for f in found])
+                bucket = (_mix(shingle) % np.uint64(buckets)).astype(np.int64)
+                # Frequent shingles needn't meet: they are dealt out by node, in rows of their own.
+                by_node = np.array([int.from_bytes(k[:8], "little") % buckets for k in lot.column("nodes").to_pylist()])
+                known = ~_absent(shingle, shared.value)
+                bucket[known] = buckets + by_node[owner[known]]
+                order = np.lexsort((owner, bucket))
+                shingle, owner, bucket = shingle[order], owner[order], bucket[order]
+                at = np.append(0, np.flatnonzero(np.diff(bucket)) + 1)
+                rows = [(int(bucket[i]), shingle[i:j], owner[i:j]) for i, j in zip(at, [*at[1:], len(bucket)])]
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array([b % buckets for b, _, _ in rows], pa.int32()),
+                    "often": [b >= buckets for b, _, _ in rows],
+                    "shingles": [s.tobytes() for _, s, _ in rows],
+                    "owners": [_renumbered(o)[0].tobytes() for _, _, o in rows],
+                    **{c: [np.array(lot.column(c).take(pa.array(_renumbered(o)[1])).to_pylist(), kind).tobytes()
+                           for _, _, o in rows] for c, kind in (("nodes", "S16"), ("components", "<i8"), ("sizes", "<i8"))},
+                })
+
+    def meet(table):
+        parts = []
+        for often_too, s, o, nodes, c, n in zip(*[table.column(x).to_pylist() for x in names[1:]]):
+            s, o = np.frombuffer(s, "<u8"), np.frombuffer(o, "<u4")
+            parts.append((s, np.frombuffer(nodes, "V16")[o], np.frombuffer(c, "<i8")[o], np.frombuffer(n, "<i8")[o],
+                          np.full(len(s), often if often_too else 0, np.int64)))
+        s, node, c, n, held = [np.concatenate(x) for x in zip(*parts)]
+        order = np.argsort(s)
+        s, node, c, n, held = s[order], node[order], c[order], n[order], held[order]
+        first = np.append(True, s[1:] != s[:-1])
+        starts, run = np.flatnonzero(first), np.cumsum(first) - 1
+        several = np.minimum.reduceat(c, starts) != np.maximum.reduceat(c, starts)
+        keep = several[run] | (held > 0)
+        held = np.where(held > 0, held, np.bincount(run)[run])[keep]
+        node = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(held), [None, pa.py_buffer(node[keep].tobytes())])
+        return pa.table({"shingle": s[keep].view("<i8"), "node": node.cast(pa.binary()), "component": c[keep],
+                         "n": n[keep], "held": held})
+
+    names = ["bucket", "often", "shingles", "owners", "nodes", "components", "sizes"]
+    given = apart.select(F.col("node").alias("nodes"), F.xxhash64("component").alias("components"), F.col("n").alias("sizes"))
+    dealt = given.join(sets, F.expr("node = nodes")).select("shingles", "nodes", "components", "sizes").mapInArrow(
+        deal, "bucket int, often boolean, shingles binary, owners binary, nodes binary, components binary, sizes binary"
+    )
+    met = dealt.groupBy("bucket").applyInArrow(meet, "shingle long, node binary, component long, n long, held long")
+    met = met.groupBy("node", "component", "n").agg(F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("own"))
+    least = f"(({PERCENT} * n + 99) div 100)"
+    met = met.withColumn("alone", F.col("n") - F.size("own")).withColumn("prefix", F.expr(f"cast(n - {least} + 1 - alone as int)"))
+    places = met.where("prefix > 0").select(
+        "node", "component", "n", "alone", F.posexplode(F.expr("slice(own, 1, prefix)")).alias("j", "s")
+    )
+    places = places.select(F.col("s.shingle").alias("shingle"), "node", "component", "n", (F.col("n") - F.col("alone") - F.col("j")).alias("left"))
+    places = storage.stored(places, "links")
+    joining = places.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    places = storage.stored(places.join(joining.where("low <> high").select("shingle"), "shingle", "left_semi"), "links")
+    other = places.toDF("shingle", "b", "component_b", "n_b", "left_b")
+    enough = f"least(left, left_b) >= ({PERCENT} * (n + n_b) + {99 + PERCENT}) div {100 + PERCENT}"
+    near = places.join(other, "shingle").where(f"node < b and component <> component_b and {enough}")
+    return near.select(F.col("node").alias("a"), "b")
+
+
+def _renumbered(owner):
+    """(place of each entry's owner among the different owners, those) of ascending owners."""
+    new = np.append(True, owner[1:] != owner[:-1])
+    return (np.cumsum(new) - 1).astype("<u4"), owner[new]
+
+
+def _links(members, sets, frequent, buckets):
     """(node, component) of the nodes that link with others; candidates are the nodes that share a signature.
 
     In a round, every group of a signature whose nodes lie in several components is compared with one of its members,
-    another one each round. Near copies in large groups thus come together at a cost linear in the group. Of what is
-    still apart after STAR_ROUNDS, all pairs from different components are compared that have not been.
+    another one each round. Near copies in large groups thus come together at a cost linear in the group. What is in
+    groups of several components after STAR_ROUNDS is compared as _prefix_matches says.
     """
     spark = members.sparkSession
     none = spark.createDataFrame([], "a binary, b binary")
@@ -334,14 +416,11 @@ def _links(members, sets):
             centre = centre.toDF("signature", "c_node", "c_component", "n_b")
             near = at.join(centre, "signature").where("component <> c_component")
             near = near.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("c_node").alias("b"), "n_b")
+            near = near.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         else:
-            apart = storage.stored(at.join(centre.select("signature"), "signature", "left_semi"), "links")
-            other = apart.select("signature", F.col("node").alias("b"), F.col("n").alias("n_b"),
-                                 F.col("component").alias("component_b"))
-            near = apart.join(other, "signature").where("node < b and component <> component_b")
-            near = near.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "b", "n_b")
-        pairs = near.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = storage.stored(pairs.join(done, ["a", "b"], "left_anti"), "links")
+            apart = at.join(centre.select("signature"), "signature", "left_semi").select("node", "component", "n").distinct()
+            near = _prefix_matches(storage.stored(apart, "links"), sets, frequent, buckets)
+        pairs = storage.stored(near.distinct().join(done, ["a", "b"], "left_anti"), "links")
         links = storage.stored(links.union(_verified(pairs, sets)), "links")
         groups = connected_components(links)
         done = done.union(pairs)
@@ -369,7 +448,8 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
     )
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-int(total * 0.7) // BUCKET_ROWS))
-    rows = _signature_rows(docs, buckets, _frequent(info))
+    frequent = _frequent(info)
+    rows = _signature_rows(docs, buckets, frequent)
     shared = rows.groupBy("bucket").applyInArrow(_shared, "signature long, node binary")
     members = storage.stored(shared.join(classes.select("node", "n"), "node"), "near-duplicates")
     wanted = storage.stored(members.select("node").distinct().join(classes, "node").select("node", "first"), "near-duplicates")
@@ -381,7 +461,7 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
 
     sets = add_columns(texts, lambda: to_sets, [T.StructField("node", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
     sets = sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]).select("node", "shingles")
-    groups = _links(members, storage.stored(sets, "near-duplicates"))
+    groups = _links(members, storage.stored(sets, "near-duplicates"), frequent, buckets)
     labelled = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
     named = storage.stored(labelled.join(least, "component").select("node", "component_id"), "near-duplicates")
