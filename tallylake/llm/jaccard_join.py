@@ -28,8 +28,10 @@ PERCENT = 80
 BAND_GROWTH, BUCKET_ROWS = 1.5, 2_000_000
 #: Frequent shingles that are known to all tasks (8 bytes each), and in how many steps of texts one must repeat.
 FREQUENT, LEAST_STEPS = 1 << 17, 3
-#: Rounds in which groups are compared with one member; what is then still apart is compared in full.
+#: Rounds in which groups are compared with one member; what is then still apart is compared by its rarest shingles.
 STAR_ROUNDS = 2
+#: 64-bit words of a set's parity bits.
+PARITY_WORDS = 8
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -289,8 +291,17 @@ def _shared(table):
     return pa.table({"signature": pa.array(s.view("<i8")), "node": nodes.cast(pa.binary())})
 
 
-def _verified(pairs, sets):
-    """Those of the pairs (a, b) of nodes whose sets are similar enough."""
+#: Least intersection of linked sets of n_a and n_b shingles; what of two sets' parity bits differs at most.
+_COMMON = f"(({PERCENT} * (n_a + n_b) + {99 + PERCENT}) div {100 + PERCENT})"
+_WORDS = [f"w{i}" for i in range(PARITY_WORDS)]
+_ALIKE = " + ".join(f"bit_count({w}_a ^ {w}_b)" for w in _WORDS) + f" <= n_a + n_b - 2 * {_COMMON}"
+
+
+def _verified(pairs, sets, parities):
+    """Those of the pairs (a, b) of nodes whose sets are similar enough: first by parity bits, then by shingles."""
+    for side in ("a", "b"):
+        pairs = pairs.join(parities.toDF(side, f"n_{side}", *[f"{w}_{side}" for w in _WORDS]), side)
+    pairs = storage.stored(pairs.where(_ALIKE).select("a", "b"), "links")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
 
@@ -308,13 +319,15 @@ def _verified(pairs, sets):
     return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a binary, b binary")
 
 
-def _prefix_matches(apart, sets, frequent, buckets):
+def _prefix_matches(apart, sets, parities, frequent, buckets):
     """Pairs (a, b) of different components that could link, of the nodes (node, component, n) of apart.
 
     A node's shingles stand in one order for all: first those that one component alone has, which can't join two, then
     by the number of nodes that have them, the frequent ones last. Linked sets share one of the first
     n - ceil(0.8 n) + 1, at places that leave enough shingles behind; few unlike sets do. Shingles that only one
-    component has never leave their bucket, and the frequent ones need no bucket to be known as shared.
+    component has never leave their bucket, and the frequent ones need no bucket to be known as shared. A set's parity
+    bits (for each class of shingles, whether it holds an odd number of them) differ in at most as many places as the
+    sets in shingles, so most of the unlike sets that still meet are told apart without their shingles.
     """
     spark = apart.sparkSession
     shared, often = spark.sparkContext.broadcast(frequent), 2**31 - 1
@@ -370,18 +383,35 @@ def _prefix_matches(apart, sets, frequent, buckets):
     met = dealt.groupBy("bucket").applyInArrow(meet, "shingle long, node binary, component long, n long, held long")
     met = met.groupBy("node", "component", "n").agg(F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("own"))
     least = f"(({PERCENT} * n + 99) div 100)"
+    met = met.join(parities.drop("n"), "node")
     met = met.withColumn("alone", F.col("n") - F.size("own")).withColumn("prefix", F.expr(f"cast(n - {least} + 1 - alone as int)"))
     places = met.where("prefix > 0").select(
-        "node", "component", "n", "alone", F.posexplode(F.expr("slice(own, 1, prefix)")).alias("j", "s")
+        "node", "component", "n", "alone", *_WORDS, F.posexplode(F.expr("slice(own, 1, prefix)")).alias("j", "s")
     )
-    places = places.select(F.col("s.shingle").alias("shingle"), "node", "component", "n", (F.col("n") - F.col("alone") - F.col("j")).alias("left"))
+    left = (F.col("n") - F.col("alone") - F.col("j")).alias("left")
+    places = places.select(F.col("s.shingle").alias("shingle"), "node", "component", "n", left, *_WORDS)
     places = storage.stored(places, "links")
     joining = places.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     places = storage.stored(places.join(joining.where("low <> high").select("shingle"), "shingle", "left_semi"), "links")
-    other = places.toDF("shingle", "b", "component_b", "n_b", "left_b")
-    enough = f"least(left, left_b) >= ({PERCENT} * (n + n_b) + {99 + PERCENT}) div {100 + PERCENT}"
-    near = places.join(other, "shingle").where(f"node < b and component <> component_b and {enough}")
-    return near.select(F.col("node").alias("a"), "b")
+    one, two = [
+        places.toDF("shingle", side, f"component_{side}", f"n_{side}", f"left_{side}", *[f"{w}_{side}" for w in _WORDS])
+        for side in ("a", "b")
+    ]
+    near = one.join(two, "shingle").where(f"a < b and component_a <> component_b and least(left_a, left_b) >= {_COMMON}")
+    return near.where(_ALIKE).select("a", "b")
+
+
+def _parities(sets):
+    """(node, n, w0, w1, ...): the size and the parity bits of every set."""
+    def run(batches):
+        for batch in batches:
+            found = [np.frombuffer(v.as_buffer(), "<u8") >> np.uint64(48) for v in batch.column("shingles")]
+            odd = [np.bincount((f % (64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) % 2 for f in found]
+            bits = np.packbits(np.array(odd, bool).reshape(len(odd), -1), axis=1).view("<i8").reshape(len(odd), -1)
+            sizes = pa.array([len(f) for f in found], pa.int64())
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "n": sizes, **{f"w{i}": w for i, w in enumerate(bits.T.copy())}})
+
+    return sets.mapInArrow(run, "node binary, n long, " + ", ".join(f"{w} long" for w in _WORDS))
 
 
 def _renumbered(owner):
@@ -398,31 +428,31 @@ def _links(members, sets, frequent, buckets):
     groups of several components after STAR_ROUNDS is compared as _prefix_matches says.
     """
     spark = members.sparkSession
-    none = spark.createDataFrame([], "a binary, b binary")
-    links, done = none, none
+    parities = storage.stored(_parities(sets), "links")
+    done = spark.createDataFrame([], "a binary, b binary")
+    groups = spark.createDataFrame([], "node binary, component binary")
     fits = F.expr(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
     for turn in range(STAR_ROUNDS + 1):
-        if turn:
-            at = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        else:
-            at = members.withColumn("component", F.col("node"))
+        at = members.join(groups, "node", "left") if turn else members.withColumn("component", F.col("node"))
+        # One exchange serves the grouping and the join with its result.
+        at = at.withColumn("component", F.coalesce("component", "node")).repartition("signature")
         # The node with the least scrambled number; the scrambling changes each round.
         order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component", "n")
         centre = at.groupBy("signature").agg(
             F.min(order).alias("c"), F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low <> high")
         if turn < STAR_ROUNDS:
-            centre = storage.stored(centre.select("signature", "c.node", "c.component", "c.n"), "links")
-            centre = centre.toDF("signature", "c_node", "c_component", "n_b")
-            near = at.join(centre, "signature").where("component <> c_component")
-            near = near.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("c_node").alias("b"), "n_b")
-            near = near.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            centre = centre.select(
+                "signature", F.col("c.node").alias("b"), F.col("c.component").alias("component_b"), F.col("c.n").alias("n_b")
+            )
+            near = at.withColumnRenamed("n", "n_a").join(centre, "signature").where("component <> component_b").where(fits)
+            near = near.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
         else:
             apart = at.join(centre.select("signature"), "signature", "left_semi").select("node", "component", "n").distinct()
-            near = _prefix_matches(storage.stored(apart, "links"), sets, frequent, buckets)
+            near = _prefix_matches(storage.stored(apart, "links"), sets, parities, frequent, buckets)
         pairs = storage.stored(near.distinct().join(done, ["a", "b"], "left_anti"), "links")
-        links = storage.stored(links.union(_verified(pairs, sets)), "links")
-        groups = connected_components(links)
+        found = storage.stored(_verified(pairs, sets, parities), "links")
+        groups = connected_components(found.union(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         done = done.union(pairs)
     return groups
 
