@@ -1,6 +1,8 @@
 import collections
 import random
 
+import pytest
+
 from tallylake.llm import (
     components, decontamination, jaccard_join, pitman_yor, quality_model, quality_rules, storage, toxicity, warc,
 )
@@ -58,6 +60,25 @@ def test_near_duplicates_against_brute_force(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
 
 
+@pytest.mark.parametrize("least_steps", [1, 99])
+def test_rarest_shingles_find_all_links_alone(spark, monkeypatch, least_steps):
+    """Without a star round, and with or without a list of frequent shingles, borderline copies link as in brute force."""
+    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(jaccard_join, "LEAST_STEPS", least_steps)
+    rng = random.Random(6)
+    base, passage = [[f"{x}{i}" for i in range(n)] for x, n in (("b", 120), ("p", 60))]
+    rows = []
+    for i in range(120):
+        words = list(base) if i % 2 else [f"u{i}w{j}" for j in range(20)] + passage
+        for _ in range(rng.randrange(6) if i % 2 else 0):
+            words[rng.randrange(len(words))] = f"edit{rng.random()}"
+        rows.append((i, " ".join(words)))
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    expected = brute_components(rows)
+    assert 2 < len({c for _, c in expected.values()}) < 120
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in components.connected_components(edges).collect()}
