@@ -142,7 +142,7 @@ def _encoder(path):
             machine.known.clear()
         return [machine.encode(w.encode()) for w in words]
 
-    cache = byte_bpe.PieceCache(solve, lambda ids: tuple(chain.from_iterable(ids)))
+    cache = byte_bpe.PieceCache(solve, lambda ids: tuple(chain.from_iterable(ids)), 150_000, 3_000_000)
 
     def encode(texts):
         cut = [bpe.segments(t or "") for t in texts]

@@ -114,9 +114,9 @@ class PieceCache:
     join(results of a piece's pre-tokens) makes the piece's result.
     """
 
-    def __init__(self, solve, join):
+    def __init__(self, solve, join, most=500_000, most_chars=10_000_000):
         self.solve, self.join = solve, join
-        self.bare, self.spaced, self.tokens = Remembered(50_000), Remembered(), Remembered(100_000)
+        self.bare, self.spaced, self.tokens = [Remembered(m, most_chars) for m in (50_000, most, 100_000)]
         gc.set_threshold(500_000)  # large dictionaries of strings hold no cycles; searching them often costs time
 
     def learn(self, cut):
