@@ -11,7 +11,7 @@ from tallylake.llm.arrow_columns import without
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW = 5
-# Frequent function words of the languages that the stop-word rule knows.
+# Frequent function words of the languages that the stop-word rule knows (English, French, Spanish, German).
 STOP_WORDS = ("the of and to in is a that for it as was with be by on not he this are or his from at which but have an "
               "de la le les et des en un une du que el los las y der die und das ist von zu den mit").split()
 
@@ -34,6 +34,8 @@ RULES = (
     Rule("symbol_pct", high=10),
     Rule("dup_line_pct", high=90),
     Rule("long_word_pct", high=30),
+    # Running text has function words; titles and short lists needn't. Texts in other languages fail as well.
+    Rule("stop_word_pct", low=1, least_words=20),
 )
 
 

@@ -94,6 +94,15 @@ def test_quality_rules(spark, odd_docs):
     assert quality_rules.judge(odd_docs).count() == odd_docs.count()
 
 
+def test_a_text_without_stop_words_fails_by_that_rule_alone(spark):
+    words = [f"granite{i}" for i in range(19)]
+    texts = [" ".join(words + ["river"]), " ".join(words + ["The"]), " ".join(words)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.kept for r in quality_rules.judge(docs).orderBy("doc_id").collect()] == [False, True, True]
+    others = [r for r in quality_rules.RULES if r.measure != "stop_word_pct"]
+    assert [r.kept for r in quality_rules.judge(docs, others).orderBy("doc_id").collect()] == [True] * 3
+
+
 def test_quality_model_finds_junk(spark):
     rng = random.Random(2)
     clean = [" ".join(rng.choice("the of and rivers stones towers quiet walked under".split()) for _ in range(80)).replace(
