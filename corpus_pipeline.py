@@ -1,7 +1,8 @@
 """The training-text pipeline: documents through five stages, each stored before the next reads it.
 
-Rejected by the quality classifier, then by the quality rules: gone. Near duplicates: the row with the least doc_id of
-each group stays. Documents that hold a benchmark window are gone. What is left is encoded and decoded again.
+Rejected by the quality classifier, then by the quality rules: gone. Near duplicates: the row with the least (doc_id,
+text) of each class stays, also where ids repeat or are null. Documents that hold a benchmark window are gone. What is
+left is encoded and decoded again.
 """
 
 import public_tokenizers
@@ -36,11 +37,9 @@ def apply_rules(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each group of near duplicates: that with the least doc_id (of repeated rows with it, one)."""
+    """One document of each class of near duplicates, that with the least (doc_id, text), and all without shingles."""
     ship(spark)
-    found = jaccard_join.near_duplicates(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.join(found.withColumnRenamed("doc_id", "_kept"), F.expr("doc_id <=> _kept"), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    return jaccard_join.least_of_classes(docs)
 
 
 def drop_benchmark_passages(spark, docs, sf_dir):

@@ -94,7 +94,7 @@ def shingle_set(text):
 def _distinct(numbers):
     """Sorted distinct numbers."""
     numbers = np.sort(numbers)
-    return numbers[np.append(True, numbers[1:] != numbers[:-1])]
+    return numbers[np.append(True, numbers[1:] != numbers[:-1])[: len(numbers)]]
 
 
 def _key(found):
@@ -468,9 +468,23 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
 
     Sets are told apart by 128-bit keys, shingles by 64-bit hashes.
     """
+    return near_duplicate_classes(docs, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def text_key(text):
+    """What tells the texts of one doc_id apart: 128 bits, null for a null text."""
+    return F.unhex(F.md5(text))
+
+
+def near_duplicate_classes(docs, doc_id="doc_id", text="text"):
+    """The rows of near_duplicates with text_key and class: the key of the row's near-duplicate class.
+
+    Unlike component_id, which repeated or null ids can lend to unlike texts, class names one class alone; it is null
+    for texts without shingles.
+    """
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     fields = list(T.StructType.fromDDL("n_shingles long, node binary, repeated binary"))
-    info = add_columns(docs, lambda: _describe, fields, ("text",)).drop("text")
+    info = add_columns(docs, lambda: _describe, fields, ("text",)).withColumn("text_key", text_key("text")).drop("text")
     info = storage.stored(info, "near-duplicates")
     classes = storage.stored(
         info.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n")),
@@ -494,7 +508,27 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
     groups = _links(members, storage.stored(sets, "near-duplicates"), frequent, buckets)
     labelled = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = storage.stored(labelled.join(least, "component").select("node", "component_id"), "near-duplicates")
+    named = labelled.join(least, "component").select("node", "component_id", F.col("component").alias("class"))
+    named = storage.stored(named, "near-duplicates")
     return info.join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key", "class"
     )
+
+
+def least_of_classes(docs, doc_id="doc_id", text="text"):
+    """One row of each near-duplicate class, that with the least (doc_id, text), null ids last, and all rows of texts
+    without shingles. Of rows equal in both, any one. Ids needn't be unique: only a row's own class decides."""
+    found = near_duplicate_classes(docs, doc_id, text).where("class is not null")
+    # As a struct, the id of a class can be null and is still the least there is.
+    found = found.withColumn("_id", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id"))
+    found = storage.stored(found.select("_id", "text_key", F.col("class").alias("_class")), "near-duplicates")
+    least = found.groupBy("_class").agg(F.min("_id").alias("_id"))
+    chosen = found.join(least, ["_class", "_id"]).select(
+        F.col("_id.doc_id").alias("_id"), F.col("text_key").alias("_key"), "_class"
+    ).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (text_key(F.col(f"`{text}`")) == F.col("_key"))
+    rows = docs.join(chosen, same).groupBy("_class").agg(F.min_by(F.struct(*columns), F.col(f"`{text}`")).alias("_row"))
+    # Not in the join: whatever has no word is in no class.
+    bare = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), " \t\n\x0b\f\r", "") == ""
+    return rows.select("_row.*").union(docs.where(bare).select(*columns))
