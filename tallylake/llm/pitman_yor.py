@@ -1,14 +1,15 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Each class of the preceding word has a restaurant; all of them share the root restaurant as parent, whose base measure
-is uniform over the training words and one unknown. A token is a customer of its context's restaurant, a table there is
-a customer of the root. The seating of each dish is sampled in blocks of a Gibbs sweep: all customers of a word in a
+Each preceding word has a restaurant of its own; all of them share the root restaurant as parent, whose base measure is
+uniform over the training words and one unknown. A token is a customer of its context's restaurant, a table there is a
+customer of the root. The seating of each dish is sampled in blocks of a Gibbs sweep: all customers of a word in a
 restaurant sit down anew, one after the other, given the other tables. Predictive probabilities are averaged over the
-sweeps after the first. Classes of contexts (hash of the preceding word) keep the number of restaurants fixed; words
-themselves are not merged.
+sweeps after the first.
 
-Words are dealt out to buckets by hash. While sampling, a bucket takes its own tables times the number of buckets for
-the total; the probabilities use the exact totals, so they sum to one over all words and the unknown.
+Pairs (word before, word) are dealt out to buckets by context, those of hot contexts by the word too; the tables of hot
+contexts are summed on the driver after each sweep. Each sweep sends the tables of every word to the root, dealt out by
+word, and gets the root's seating back: no number is estimated from a part. The seatings are stored, and the scores
+read the very ones that the totals were summed from.
 """
 
 import zlib
@@ -19,17 +20,21 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from tallylake.llm import storage
 from tallylake.llm.arrow_columns import steps
 
-CLASSES, SWEEPS = 256, 3
+SWEEPS = 3
 #: Discount and strength of the context restaurants and of the root.
 DISCOUNT, STRENGTH, ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 1.0, 0.5, 1.0
 #: Every fold of this remainder is held out of training.
 FOLDS, HELD_OUT = 7, 2
 #: Characters of text for one bucket of words, and the fewest buckets.
 BUCKET_CHARS, LEAST_BUCKETS = 40_000_000, 64
-#: Words with a larger share of the training tokens are scored where they are read; there are less than 1/share.
-HOT_SHARE = 1 / 1000
+#: Words with a larger share of the tokens are hot; there are less than 1/share. They are counted in a part of the texts
+#: of about SAMPLE_CHARS characters, of a 64th at least.
+HOT_SHARE, SAMPLE_CHARS = 1 / 1000, 50_000_000
+#: Slots for the restaurants of hot contexts, at least.
+SLOTS = 256
 #: Up to so many customers sit down one by one; later ones in groups of 5 % of those seated.
 ONE_BY_ONE = 64
 
@@ -54,7 +59,7 @@ def is_held_out(doc_id):
 
 
 def _tokens(texts):
-    """(word hashes, context classes, document numbers) of the tokens of some texts, an end after each."""
+    """(word hashes, hashes of the words before them, document numbers) of the tokens of some texts, an end after each."""
     words, sizes, known = [], [], _hashes().__getitem__
     for t in texts:
         ws = t.encode().lower().split() if t else []
@@ -63,11 +68,11 @@ def _tokens(texts):
         sizes.append(len(ws) + 1)
     words = np.concatenate(words) if words else np.zeros(0, np.uint64)
     before = np.concatenate([np.array([END]), words[:-1]]) if len(words) else words
-    return words, (before % np.uint64(CLASSES)).astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
+    return words, before, np.repeat(np.arange(len(sizes)), sizes)
 
 
 def _steps(batches):
-    """(step number, documents' ids, word hashes, classes, document numbers) of a task's texts."""
+    """(step number, documents' ids, word hashes, words before, document numbers) of a task's texts."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 24
@@ -79,33 +84,89 @@ def _steps(batches):
                 number += 1
 
 
-def _per_bucket(words, buckets):
-    """(bucket, places) of sorted word hashes."""
-    bucket = (words >> np.uint64(8)) % np.uint64(buckets)
+def _table(rows):
+    """Rows (bucket, kind, part, up to five arrays) as an Arrow table; all exchanges have this form."""
+    blobs = [[r[3 + i].tobytes() if len(r) > 3 + i else b"" for r in rows] for i in range(5)]
+    first = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.string(), pa.int64()))]
+    return pa.table([*first, *[pa.array(b, pa.binary()) for b in blobs]], names=["bucket", "kind", "part", *"abcde"])
+
+
+_SCHEMA = "bucket int, kind string, part long, a binary, b binary, c binary, d binary, e binary"
+
+
+def _rows(table, *kinds):
+    """The rows of some kinds by (kind, part): lists of (part, five blobs)."""
+    found = sorted(zip(*[table.column(c).to_pylist() for c in ("kind", "part", *"abcde")]), key=lambda r: r[:2])
+    return [[r[1:] for r in found if r[0] == kind] for kind in kinds]
+
+
+def _cat(blobs, kind):
+    return np.concatenate([np.zeros(0, kind), *[np.frombuffer(b, kind) for b in blobs]])
+
+
+def _place(values, wanted):
+    """(place of each wanted number among sorted values, whether it is there)."""
+    if not len(values):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+    return at, values[at] == wanted
+
+
+def _distinct_pairs(words, before):
+    """Distinct (word before, word) in order, and the place of each token's pair."""
+    distinct, place = np.unique(np.concatenate([before, words]), return_inverse=True)
+    pairs, which = np.unique(place[: len(words)] * len(distinct) + place[len(words) :], return_inverse=True)
+    n = max(1, len(distinct))
+    return distinct[pairs // n], distinct[pairs % n], which
+
+
+def _dealt(contexts, words, hot, buckets):
+    """(bucket, places) of pairs: by context, those of hot contexts by the word too."""
+    number = contexts >> np.uint64(8)
+    split = _place(hot, contexts)[1]
+    number[split] ^= words[split] >> np.uint64(16)
+    bucket = (number % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    for places in np.split(order, cuts) if len(words) else ():
+    for places in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
         yield int(bucket[places[0]]), places
 
 
-def _count_rows(docs, buckets):
-    """Training counts of (word, class), summed per step of texts: bucket, words, classes, counts."""
+def _runs(contexts):
+    """Equal neighbours once, and how many there are."""
+    starts = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1])[: len(contexts)])
+    return contexts[starts], np.diff(np.append(starts, len(contexts))).astype("<u4")
+
+
+def _hot_words(docs, size):
+    """Frequent words, sorted, counted in a part of the texts. Any list gives right results: a good one spreads the work."""
+    part = docs.where(F.expr(f"pmod(xxhash64(text), {1 + min(63, int(size) // SAMPLE_CHARS)}) = 0"))
+
     def run(batches):
-        for _, ids, words, classes, number in _steps(batches):
+        for _, _, words, _, _ in _steps(batches):
+            distinct, n = np.unique(words, return_counts=True)
+            # What is rarer than half the share in every step is rarer in all.
+            kept = n >= HOT_SHARE / 2 * len(words)
+            columns = [distinct[kept].view("<i8"), n[kept], np.full(kept.sum(), 0)]
+            columns = [np.append(c, x) for c, x in zip(columns, (0, 0, len(words)))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["word", "n", "all"])
+
+    counted = part.mapInArrow(run, "word long, n long, all long")
+    total = counted.agg(F.sum("all")).first()[0] or 0
+    found = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= max(1.0, HOT_SHARE * total)).collect()
+    return np.sort(np.array([r.word for r in found], np.int64).view(np.uint64))
+
+
+def _count_rows(docs, buckets, hot):
+    """Training counts of pairs, summed per step of texts; pairs of held-out texts alone count 0."""
+    def run(batches):
+        for step, ids, words, before, number in _steps(batches):
             train = ~np.array([is_held_out(d) for d in ids], bool)[number]
-            distinct, word = np.unique(words[train], return_inverse=True)
-            key, n = np.unique(word * CLASSES + classes[train], return_counts=True)
-            rows = {"bucket": [], "words": [], "classes": [], "counts": []}
-            each = distinct[key // CLASSES]
-            for bucket, places in _per_bucket(each, buckets):
-                rows["bucket"].append(bucket)
-                rows["words"].append(each[places].astype("<u8").tobytes())
-                rows["classes"].append((key[places] % CLASSES).astype("u1").tobytes())
-                rows["counts"].append(n[places].astype("<u4").tobytes())
-            types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
+            contexts, follow, which = _distinct_pairs(words, before)
+            n = np.bincount(which, weights=train, minlength=len(follow)).astype("<u4")
+            rows = [(b, "count", step, *_runs(contexts[at]), follow[at], n[at]) for b, at in _dealt(contexts, follow, hot, buckets)]
+            yield from _table(rows).to_batches()
 
-    return docs.mapInArrow(run, "bucket int, words binary, classes binary, counts binary")
+    return docs.mapInArrow(run, _SCHEMA)
 
 
 def seat(customers, new_table, discount, rng):
@@ -129,235 +190,260 @@ def seat(customers, new_table, discount, rng):
     return out
 
 
-class Seating:
-    """The seating of one bucket's words: rows (word, class, customers) and samples of their tables."""
-
-    def __init__(self, bucket, buckets, words, classes, counts):
-        self.words, word = np.unique(words, return_inverse=True)
-        self.key, place = np.unique(word * CLASSES + classes, return_inverse=True)
-        self.customers = np.bincount(place, weights=counts, minlength=len(self.key)).astype(np.int64)
-        self.word, self.cls = self.key // CLASSES, self.key % CLASSES
-        self.count = np.bincount(self.word, weights=self.customers, minlength=len(self.words))
-        rng = np.random.default_rng(bucket)
-        n = len(self.words)
-        t = np.minimum(self.customers, 1).astype(float)
-        root_c = np.bincount(self.word, weights=t, minlength=n)
-        root_t = np.minimum(root_c, 1)
-        base = 1 / (n * buckets + 1)
-        self.samples = []
-        for sweep in range(SWEEPS):
-            tables = np.bincount(self.cls, weights=t, minlength=CLASSES) * buckets
-            p = root(root_c, root_t, root_c.sum() * buckets, root_t.sum() * buckets, base)
-            t = seat(self.customers, (STRENGTH + DISCOUNT * tables[self.cls]) * p[self.word], DISCOUNT, rng)
-            root_c = np.bincount(self.word, weights=t, minlength=n)
-            weight = (ROOT_STRENGTH + ROOT_DISCOUNT * root_t.sum() * buckets) * base
-            root_t = seat(root_c.astype(np.int64), np.full(n, weight), ROOT_DISCOUNT, rng)
-            if sweep:
-                self.samples.append((t, root_c, root_t))
-
-    def totals(self):
-        """Numbers that add up over buckets: words, tokens, customers by class; per sample tables by class, at root."""
-        parts = [[len(self.words), self.customers.sum()],
-                 np.bincount(self.cls, weights=self.customers, minlength=CLASSES)]
-        for t, root_c, root_t in self.samples:
-            parts += [np.bincount(self.cls, weights=t, minlength=CLASSES), [root_c.sum(), root_t.sum()]]
-        return np.concatenate(parts)
-
-
 def root(customers, tables, all_customers, all_tables, base):
     top = np.maximum(customers - ROOT_DISCOUNT * tables, 0) + (ROOT_STRENGTH + ROOT_DISCOUNT * all_tables) * base
     return top / (ROOT_STRENGTH + all_customers)
 
 
-class Model:
-    """The exact totals over all buckets."""
-
-    def __init__(self, totals):
-        self.n_words, self.n_tokens = totals[0], totals[1]
-        self.customers = totals[2 : 2 + CLASSES]
-        rest = totals[2 + CLASSES :].reshape(SWEEPS - 1, CLASSES + 2)
-        self.tables, self.root = rest[:, :CLASSES], rest[:, CLASSES:]
-
-    def probability(self, seating, word, cls):
-        """Averaged predictive probability of words (places in seating.words, -1: unknown) after classes."""
-        key = np.where(word >= 0, word * CLASSES + cls, -1)
-        at = np.minimum(np.searchsorted(seating.key, key), max(0, len(seating.key) - 1))
-        there = seating.key[at] == key if len(seating.key) else np.zeros(len(key), bool)
-        total = np.zeros(len(key))
-        base = 1 / (self.n_words + 1)
-        for s, (t, root_c, root_t) in enumerate(seating.samples):
-            p = root(np.append(root_c, 0), np.append(root_t, 0), *self.root[s], base)[word]
-            own = np.where(there, seating.customers[at] - DISCOUNT * t[at], 0) if len(seating.key) else 0
-            total += (own + (STRENGTH + DISCOUNT * self.tables[s][cls]) * p) / (STRENGTH + self.customers[cls])
-        return total / len(seating.samples)
-
-
-def _cat(column, kind):
-    return np.concatenate([np.zeros(0, kind), *[np.frombuffer(b, kind) for b in column.to_pylist()]])
-
-
-def _read_counts(table, buckets):
-    bucket = table.column("bucket")[0].as_py()
-    words, classes = _cat(table.column("words"), "<u8"), _cat(table.column("classes"), "u1").astype(np.int64)
-    return Seating(bucket, buckets, words, classes, _cat(table.column("counts"), "<u4"))
+class Seating:
+    """One bucket's pairs: sorted contexts, words by (their bucket, number), and customers of each pair in order."""
+
+    def __init__(self, table, buckets):
+        (counts,), (state,) = _rows(table, "count"), _rows(table, "state")
+        if state:
+            (_, contexts, repeats, words, follow, customers), = state
+            self.contexts, self.words = np.frombuffer(contexts, "<u8"), np.frombuffer(words, "<u8")
+            self.repeats, self.follow = np.frombuffer(repeats, "<u4"), np.frombuffer(follow, "<u4").astype(np.int64)
+            self.context = np.repeat(np.arange(len(self.contexts)), self.repeats)
+            self.customers = np.frombuffer(customers, "<i8")
+        else:
+            context = np.repeat(_cat([r[1] for r in counts], "<u8"), _cat([r[2] for r in counts], "<u4"))
+            follow, n = _cat([r[3] for r in counts], "<u8"), _cat([r[4] for r in counts], "<u4")
+            self.contexts, context = np.unique(context, return_inverse=True)
+            words, follow = np.unique(follow, return_inverse=True)
+            order = np.argsort(_word_bucket(words, buckets), kind="stable")
+            self.words = words[order]
+            key, place = np.unique(context * len(words) + np.argsort(order)[follow], return_inverse=True)
+            self.context, self.follow = key // len(words), key % len(words)
+            self.repeats = np.bincount(self.context).astype("<u4")
+            self.customers = np.bincount(place, weights=n).astype("<i8")
+
+    def row(self, bucket):
+        return bucket, "state", 0, self.contexts, self.repeats, self.words, self.follow.astype("<u4"), self.customers
+
+    def by_context(self, numbers, hot, hot_sums):
+        """Sums of pairs' numbers over whole contexts; those of hot contexts, which lie in many buckets, are given."""
+        sums = np.bincount(self.context, weights=numbers, minlength=len(self.contexts))
+        at, there = _place(hot, self.contexts)
+        sums[there] = hot_sums[at[there]]
+        return sums
+
+    def find(self, contexts, words):
+        """Places of pairs that are there."""
+        order = np.argsort(self.words)
+        word = order[np.searchsorted(self.words[order], words)]
+        key = self.context * len(self.words) + self.follow
+        return np.searchsorted(key, np.searchsorted(self.contexts, contexts) * len(self.words) + word)
+
+    def messages(self, bucket, buckets, tables, hot, kind):
+        """The tables; their sums by word for the root; sums of the hot contexts, and their tables of hot words."""
+        sums = np.bincount(self.follow, weights=tables, minlength=len(self.words))
+        counts = np.bincount(self.follow, weights=self.customers, minlength=len(self.words))
+        at, there = _place(hot, self.contexts)
+        here = there[self.context]
+        slot = at[self.context[here]]
+        customers = np.bincount(slot, weights=self.customers[here], minlength=len(hot))
+        of_word, is_hot = _place(hot, self.words[self.follow[here]])
+        cells = np.stack([slot, of_word, self.customers[here], tables[here]]).astype("<f8")[:, is_hot]
+        out = [(bucket, kind, 0, tables.astype("<u4")),
+               (bucket, "hot", 0, np.bincount(slot, weights=tables[here], minlength=len(hot)), customers, cells)]
+        own = _word_bucket(self.words, buckets)
+        for places in np.split(np.arange(len(own)), np.flatnonzero(np.diff(own)) + 1) if len(own) else ():
+            out.append((int(own[places[0]]), "word", bucket, self.words[places], sums[places], counts[places]))
+        return out
+
+
+def _word_bucket(words, buckets):
+    return ((words >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _bucket_of(table):
+    return table.column("bucket")[0].as_py()
+
+
+def _answers(table, kind):
+    """(customers, tables, training counts) at the root of a seating's words."""
+    answers, = _rows(table, kind)
+    return [_cat([r[i] for r in answers], "<f8") for i in (1, 2, 3)]
 
 
-def _fit(docs, buckets):
-    """The model, and the tables of hot words: (hashes, counts, probabilities by class)."""
+class Model:
+    """The exact totals; restaurants of hot contexts in SLOTS slots, of which the last are empty restaurants."""
+
+    def __init__(self, hot):
+        self.hot, self.n_words, self.n_tokens = hot, 0, 0
+        self.slots = max(SLOTS, len(hot))
+        self.customers, self.tables, self.root, self.cells = np.zeros(self.slots), [], [], []
+
+    def take(self, stored):
+        """The totals of a round: (tables of the hot contexts, [customers, tables] at the root, hot words)."""
+        sums = np.zeros((2, self.slots))
+        cells = []
+        for r in stored.where("kind = 'hot'").select("a", "b", "c").collect():
+            sums[:, : len(self.hot)] += np.frombuffer(r.a, "<f8"), np.frombuffer(r.b, "<f8")
+            cells.append(np.frombuffer(r.c, "<f8").reshape(4, -1))
+        self.customers = sums[1]
+        return sums[0], np.concatenate([np.zeros((4, 0)), *cells], axis=1)
+
+    def hot_table(self, totals_of_hot, cells_of_samples):
+        """(hashes, counts, probabilities by slot) of the hot words."""
+        p = np.zeros((len(self.hot), self.slots))
+        counts = np.zeros(len(self.hot))
+        for at, (of_words, cells) in enumerate(zip(totals_of_hot, cells_of_samples)):
+            customers, tables = np.zeros(len(self.hot)), np.zeros(len(self.hot))
+            place = of_words[0].astype(np.int64)
+            counts[place], customers[place], tables[place] = of_words[1:]
+            base = root(customers, tables, *self.root[at], 1 / (self.n_words + 1))
+            own = np.zeros_like(p)
+            own[cells[1].astype(np.int64), cells[0].astype(np.int64)] = cells[2] - DISCOUNT * cells[3]
+            weight = STRENGTH + DISCOUNT * self.tables[at]
+            p += (own + weight * base[:, None]) / (STRENGTH + self.customers)
+        return self.hot, counts, p / max(1, len(self.root))
+
+
+def _root_round(turn, totals, hot):
+    """Root customers of every word, seated anew but in the first round, and answers to the buckets that have them."""
     def run(table):
-        s = _read_counts(table, buckets)
-        hot = np.flatnonzero(s.count >= HOT_SHARE * s.count.sum() * buckets * 0.5)
-        return pa.table({
-            "totals": pa.array([s.totals().astype("<f8").tobytes()], pa.binary()),
-            "hot": pa.array([_dump(s, hot)], pa.binary()),
-        })
-
-    rows = _count_rows(docs, buckets).groupBy("bucket").applyInArrow(run, "totals binary, hot binary").collect()
-    size = 2 + CLASSES + (SWEEPS - 1) * (CLASSES + 2)
-    model = Model(sum((np.frombuffer(r.totals, "<f8") for r in rows), np.zeros(size)))
-    words, counts, probabilities = [], [], []
-    for r in rows:
-        s = _load(r.hot)
-        for w in np.flatnonzero(s.count >= HOT_SHARE * model.n_tokens):
-            words.append(s.words[w])
-            counts.append(s.count[w])
-            probabilities.append(model.probability(s, np.full(CLASSES, w), np.arange(CLASSES)))
-    order = np.argsort(np.array(words, np.uint64))
-    return model, (np.array(words, np.uint64)[order], np.array(counts, float)[order],
-                   np.array(probabilities).reshape(-1, CLASSES)[order])
-
-
-def _dump(s, chosen):
-    """Some words of a seating, as bytes."""
-    import pickle
-
-    rows = np.flatnonzero(np.isin(s.word, chosen))
-    part = Seating.__new__(Seating)
-    part.words, part.count = s.words[chosen], s.count[chosen]
-    part.word = np.searchsorted(chosen, s.word[rows])
-    part.cls, part.customers = s.cls[rows], s.customers[rows]
-    part.key = part.word * CLASSES + part.cls
-    part.samples = [(t[rows], c[chosen], rt[chosen]) for t, c, rt in s.samples]
-    return pickle.dumps(part)
-
-
-def _load(data):
-    import pickle
-
-    return pickle.loads(data)
+        bucket, (rows,) = _bucket_of(table), _rows(table, "word")
+        words, at = np.unique(_cat([r[1] for r in rows], "<u8"), return_inverse=True)
+        customers, n = [np.bincount(at, _cat([r[i] for r in rows], "<f8"), len(words)) for i in (2, 3)]
+        tables = np.minimum(customers, 1)
+        if turn:
+            weight = (ROOT_STRENGTH + ROOT_DISCOUNT * totals[3]) / (totals[0] + 1)
+            rng = np.random.default_rng([1, turn, bucket])
+            tables = seat(customers.astype(np.int64), np.full(len(words), weight), ROOT_DISCOUNT, rng)
+        ends = np.cumsum([len(r[1]) // 8 for r in rows])
+        out = [(r[0], "answer", bucket, customers[x], tables[x], n[x]) for r, x in zip(rows, np.split(at, ends[:-1]))]
+        slot, is_hot = _place(hot, words)
+        sums = np.array([np.count_nonzero(n), n.sum(), customers.sum(), tables.sum()], "<f8")
+        return _table([*out, (bucket, "sums", 0, sums, np.stack([slot, n, customers, tables]).astype("<f8")[:, is_hot])])
+
+    return run
+
+
+def _sweep(turn, totals, hot, hot_tables, buckets):
+    """New seatings of all pairs, given the tables of the round before."""
+    def run(table):
+        bucket, s = _bucket_of(table), Seating(table, buckets)
+        (before,), = _rows(table, "tables")
+        customers, tables, _ = _answers(table, "answer")
+        p = root(customers, tables, totals[2], totals[3], 1 / (totals[0] + 1))[s.follow]
+        per = s.by_context(np.frombuffer(before[1], "<u4"), hot, hot_tables)[s.context]
+        rng = np.random.default_rng([0, turn, bucket])
+        t = seat(s.customers, (STRENGTH + DISCOUNT * per) * p, DISCOUNT, rng)
+        return _table(s.messages(bucket, buckets, t, hot, "tables"))
+
+    return run
+
+
+def _sample(docs, buckets, size):
+    """The model, its table of hot words, and the stored rows of the seatings that the scores are averaged over."""
+    hot = _hot_words(docs, size)
+    model = Model(hot)
+
+    def begin(table):
+        bucket, s = _bucket_of(table), Seating(table, buckets)
+        return _table([s.row(bucket), *s.messages(bucket, buckets, np.minimum(s.customers, 1), hot, "tables")])
+
+    now = storage.stored(_count_rows(docs, buckets, hot).groupBy("bucket").applyInArrow(begin, _SCHEMA), "language-scores")
+    state = now.where("kind = 'state'")
+    kept, of_words, of_cells, totals = state, [], [], None
+    for turn in range(SWEEPS + 1):
+        hot_tables, cells = model.take(now)
+        run = _root_round(turn, totals, hot)
+        answers = storage.stored(now.where("kind = 'word'").groupBy("bucket").applyInArrow(run, _SCHEMA), "language-scores")
+        sums = answers.where("kind = 'sums'").select("a", "b").collect()
+        totals = sum((np.frombuffer(r.a, "<f8") for r in sums), np.zeros(4))
+        both = now.where("kind = 'tables'").union(answers.where("kind = 'answer'"))
+        if turn > 1:
+            model.tables.append(hot_tables)
+            model.root.append(totals[2:])
+            of_words.append(np.concatenate([np.zeros((4, 0)), *[np.frombuffer(r.b, "<f8").reshape(4, -1) for r in sums]], axis=1))
+            of_cells.append(cells)
+            kept = kept.union(both.withColumn("kind", F.concat("kind", F.lit(str(len(of_cells) - 1)))))
+        if turn < SWEEPS:
+            run = _sweep(turn, totals, hot, hot_tables, buckets)
+            now = storage.stored(state.union(both).groupBy("bucket").applyInArrow(run, _SCHEMA), "language-scores")
+    model.n_words, model.n_tokens = totals[:2]
+    return model, model.hot_table(of_words, of_cells), kept
 
 
-_SENT = ("bucket", "step", "docs", "words", "word", "classes", "numbers", "counts", "base", "score", "known")
-_SCHEMA = "bucket int, step long, " + ", ".join(f"{c} binary" for c in _SENT[2:])
+def _fit(docs, buckets):
+    """The model, and the tables of hot words: (hashes, counts, probabilities by slot)."""
+    return _sample(docs, buckets, 0)[:2]
 
 
-def _score_rows(docs, buckets, hot):
-    """Per step of texts: its documents with the sums of their hot words, and the other words by bucket."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+def _score_rows(docs, buckets, hot_table):
+    """Per step of texts: its documents with the sums of their hot words after hot words, and the other pairs by bucket."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot_table)
 
     def run(batches):
-        hot_words, hot_counts, hot_probability = shared.value
-        logs = np.log10(hot_probability)
-        for step, ids, words, classes, number in _steps(batches):
-            out = {c: [] for c in _SENT}
-            held = np.array([is_held_out(d) for d in ids], bool)
-            at = np.minimum(np.searchsorted(hot_words, words), max(0, len(hot_words) - 1))
-            is_hot = hot_words[at] == words if len(hot_words) else np.zeros(len(words), bool)
-            n = len(ids)
-            row = dict.fromkeys(_SENT, b"")
-            h, who = at[is_hot], number[is_hot]
-            row |= {
-                "bucket": buckets + step % buckets, "step": step,
-                "docs": pa.array(ids, pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
-                + np.array([d is None for d in ids], "u1").tobytes(),
-                "numbers": np.bincount(number, minlength=n).astype("<u4").tobytes(),
-                "base": np.bincount(who, weights=np.log10(hot_counts[h] + 1), minlength=n).astype("<f8").tobytes(),
-                "score": np.bincount(who, weights=logs[h, classes[is_hot]], minlength=n).astype("<f8").tobytes(),
-                "known": np.bincount(who, minlength=n).astype("<u4").tobytes(),
-            }
-            for c in _SENT:
-                out[c].append(row[c])
-            rest, cls, who = words[~is_hot], classes[~is_hot], number[~is_hot]
-            distinct, word = np.unique(rest, return_inverse=True)
-            key, count = np.unique((word * CLASSES + cls) * len(ids) + who, return_counts=True)
-            word, cls, who = key // len(ids) // CLASSES, key // len(ids) % CLASSES, key % len(ids)
-            for bucket, places in _per_bucket(distinct[word], buckets):
-                own, place = np.unique(word[places], return_inverse=True)
-                row = dict.fromkeys(_SENT, b"")
-                d = who[places]
-                row |= {
-                    "bucket": bucket, "step": step, "words": distinct[own].astype("<u8").tobytes(),
-                    "word": np.bincount(place).astype("<u4").tobytes(), "classes": cls[places].astype("u1").tobytes(),
-                    "numbers": (d | (held[d].astype(np.int64) << 16)).astype("<u4").view("u1").reshape(-1, 4)[:, :3].tobytes(),
-                    "counts": count[places].astype("<u4").tobytes(),
-                }
-                for c in _SENT:
-                    out[c].append(row[c])
-            types = [pa.int32(), pa.int64(), *[pa.binary()] * 9]
-            yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in zip(_SENT, types)], list(_SENT))
+        hot, counts, probability = shared.value
+        logs, log_counts = np.log10(probability), np.log10(counts + 1)
+        for step, ids, words, before, number in _steps(batches):
+            (w, w_hot), (u, u_hot), n = _place(hot, words), _place(hot, before), len(ids)
+            here = w_hot & u_hot
+            w, u, who = w[here], u[here], number[here]
+            contexts, follow, which = _distinct_pairs(words[~here], before[~here])
+            rank, done, rows = np.zeros(len(follow), "<u4"), 0, []
+            for bucket, at in _dealt(contexts, follow, hot, buckets):
+                rank[at] = np.arange(done, done + len(at))
+                done += len(at)
+                rows.append((bucket, "ask", step, *_runs(contexts[at]), follow[at]))
+            names = pa.array(ids, pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").view("u1")
+            rows.append((
+                buckets + step % buckets, "docs", step, np.append(names, np.array([d is None for d in ids], "u1")),
+                np.append(np.bincount(number, minlength=n), np.bincount(number[~here], minlength=n)).astype("<u4"), rank[which],
+                np.append(np.bincount(who, log_counts[w], n), np.bincount(who, logs[w, u], n)).astype("<f8"),
+                np.bincount(who, counts[w] > 0, n).astype("<u4"),
+            ))
+            yield from _table(rows).to_batches()
 
     return docs.mapInArrow(run, _SCHEMA)
 
 
 def _score_bucket(table, buckets, model):
-    """Of one bucket: per step the sums over its words of each document that has some."""
-    bucket = table.column("bucket")[0].as_py()
+    """Of one bucket: (log10 probability, training count of the word) of the pairs that steps ask for."""
+    bucket = _bucket_of(table)
     if bucket >= buckets:
-        return table.select(["step", "docs", "numbers", "base", "score", "known"])
-    words, classes, numbers, counts, step_of = [], [], [], [], []
-    for i, (w, repeat, c, d, n) in enumerate(zip(*[table.column(x).to_pylist() for x in _SENT[3:8]])):
-        words.append(np.repeat(np.frombuffer(w, "<u8"), np.frombuffer(repeat, "<u4")))
-        classes.append(np.frombuffer(c, "u1"))
-        wide = np.zeros((len(d) // 3, 4), "u1")
-        wide[:, :3] = np.frombuffer(d, "u1").reshape(-1, 3)
-        numbers.append(wide.view("<u4").ravel())
-        counts.append(np.frombuffer(n, "<u4"))
-        step_of.append(np.full(len(counts[-1]), i))
-    words, classes = np.concatenate(words), np.concatenate(classes).astype(np.int64)
-    numbers, counts = np.concatenate(numbers).astype(np.int64), np.concatenate(counts)
-    step_of, train = np.concatenate(step_of), numbers < 1 << 16
-    who = numbers & 0xFFFF
-    s = Seating(bucket, buckets, words[train], classes[train], counts[train])
-    at = np.minimum(np.searchsorted(s.words, words), max(0, len(s.words) - 1))
-    known = s.words[at] == words if len(s.words) else np.zeros(len(words), bool)
-    c = np.where(known, s.count[at], 0) if len(s.words) else np.zeros(len(words))
-    score = np.log10(model.probability(s, np.where(known, at, -1), classes)) * counts
-    base = np.log10(c + 1) * counts
-    key, place = np.unique(step_of << 16 | who, return_inverse=True)
-    sums = {"base": np.bincount(place, base), "score": np.bincount(place, score), "known": np.bincount(place, known * counts)}
-    out = {c: [] for c in ("step", "docs", "numbers", "base", "score", "known")}
-    cuts = np.flatnonzero(np.diff(key >> 16)) + 1
-    for places in np.split(np.arange(len(key)), cuts):
-        out["step"].append(table.column("step")[int(key[places[0]] >> 16)].as_py())
-        out["docs"].append(b"")
-        out["numbers"].append((key[places] & 0xFFFF).astype("<u2").tobytes())
-        out["base"].append(sums["base"][places].astype("<f8").tobytes())
-        out["score"].append(sums["score"][places].astype("<f8").tobytes())
-        out["known"].append(sums["known"][places].astype("<u4").tobytes())
-    types = [pa.int64(), *[pa.binary()] * 5]
-    return pa.table([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
+        return table
+    asked, = _rows(table, "ask")
+    if not asked:
+        return _table([])
+    s = Seating(table, buckets)
+    total = np.zeros(len(s.customers))
+    customers = s.by_context(s.customers, model.hot, model.customers)[s.context]
+    for at in range(len(model.root)):
+        (sample,), = _rows(table, f"tables{at}")
+        t = np.frombuffer(sample[1], "<u4")
+        *seats, counts = _answers(table, f"answer{at}")
+        p = root(*seats, *model.root[at], 1 / (model.n_words + 1))[s.follow]
+        per = s.by_context(t, model.hot, model.tables[at])[s.context]
+        total += (s.customers - DISCOUNT * t + (STRENGTH + DISCOUNT * per) * p) / (STRENGTH + customers)
+    logs = np.log10(total / len(model.root))
+    contexts = np.repeat(_cat([r[1] for r in asked], "<u8"), _cat([r[2] for r in asked], "<u4"))
+    places = s.find(contexts, _cat([r[3] for r in asked], "<u8"))
+    ends = np.cumsum([len(r[3]) // 8 for r in asked])
+    return _table([(bucket, "value", r[0], logs[x], counts[s.follow[x]].astype("<i8"))
+                   for r, x in zip(asked, np.split(places, ends[:-1]))])
 
 
 def _sum_step(table, model):
     """All sums of the documents of one step."""
-    columns = ("docs", "numbers", "base", "score", "known")
-    rows = list(zip(*[table.column(c).to_pylist() for c in columns]))
-    (docs, numbers, base, score, known), = [r for r in rows if r[0]]
+    (row,), = _rows(table, "docs")
+    _, docs, sizes, rank, sums, known = row
     n = len(docs) // 9
     ids = pa.array(np.frombuffer(docs, "<i8", n), mask=np.frombuffer(docs, "u1", n, 8 * n).astype(bool))
-    tokens = np.frombuffer(numbers, "<u4").astype(np.int64)
-    base, score = np.frombuffer(base, "<f8").copy(), np.frombuffer(score, "<f8").copy()
-    known = np.frombuffer(known, "<u4").astype(np.int64)
-    for d, who, b, s, k in rows:
-        if not d:
-            who = np.frombuffer(who, "<u2")
-            base[who] += np.frombuffer(b, "<f8")
-            score[who] += np.frombuffer(s, "<f8")
-            known[who] += np.frombuffer(k, "<u4")
-    base -= tokens * np.log10(model.n_tokens + model.n_words + 1)
+    tokens, others = np.frombuffer(sizes, "<u4").astype(np.int64).reshape(2, n)
+    values = sorted(r for r in zip(*[table.column(c).to_pylist() for c in ("bucket", "kind", "a", "b")]) if r[1] == "value")
+    rank, who = np.frombuffer(rank, "<u4"), np.repeat(np.arange(n), others)
+    logs, counts = _cat([v[2] for v in values], "<f8")[rank], _cat([v[3] for v in values], "<i8")[rank]
+    base, score = np.frombuffer(sums, "<f8").reshape(2, n)
+    base = base + np.bincount(who, np.log10(counts + 1.0), n) - tokens * np.log10(model.n_tokens + model.n_words + 1)
+    known = np.frombuffer(known, "<u4") + np.bincount(who, counts > 0, n).astype(np.int64)
     return pa.table({
         "doc_id": ids, "held_out": [is_held_out(d) for d in ids.to_pylist()], "n_tokens": tokens, "n_known": known,
-        "train_tokens": np.full(n, int(model.n_tokens)), "base_score": base, "score": score,
+        "train_tokens": np.full(n, int(model.n_tokens)), "base_score": base, "score": score + np.bincount(who, logs, n),
     })
 
 
@@ -371,16 +457,14 @@ def language_scores(docs, doc_id="doc_id", text="text"):
     rows are learned from and scored each; equal texts have equal scores. An empty table gives an empty table. Other
     columns are not read.
 
-    Sampling is seeded by bucket and runs twice on the same counts, once for the totals and once for the scores. Words
-    are told apart by 64-bit hashes.
+    Sampling is seeded by bucket and sweep. Words are told apart by 64-bit hashes.
     """
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-int(size) // BUCKET_CHARS))
-    model, hot = _fit(docs, buckets)
-    schema = "step long, docs binary, numbers binary, base binary, score binary, known binary"
-    sums = _score_rows(docs, buckets, hot).groupBy("bucket").applyInArrow(
-        lambda table: _score_bucket(table, buckets, model), schema
+    model, hot_table, seatings = _sample(docs, buckets, size)
+    values = seatings.union(_score_rows(docs, buckets, hot_table)).groupBy("bucket").applyInArrow(
+        lambda table: _score_bucket(table, buckets, model), _SCHEMA
     )
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return sums.groupBy("step").applyInArrow(lambda table: _sum_step(table, model), out)
+    return values.groupBy("part").applyInArrow(lambda table: _sum_step(table, model), out)
