@@ -1,11 +1,14 @@
 """Registered queries of the operators, over whole tables with production parameters, and DuckDB statements for them."""
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallylake.llm import (
-    bpe_automaton, decontamination, jaccard_join, pitman_yor, quality_model, quality_rules, storage, token_counts,
-    token_files, toxicity, warc,
+    bpe_automaton, decontamination, fair_mix, hard_negatives, jaccard_join, periodic_runs, pitman_yor, quality_model,
+    quality_rules, storage, token_counts, token_files, toxicity, warc,
 )
 from tallylake.llm.shipping import ship
 
@@ -83,6 +86,50 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def repeated_tail(text, ident):
+    """The text, in a tenth of the ids with its words from some place on replaced by repeats of the first of them."""
+    h = F.crc32(ident.cast("string"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    g = F.floor(h / 10)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    repeated = F.concat(F.slice(words, F.lit(1), a), F.slice(cycle, F.lit(1), n - a))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+
+
+def runs_digest(words, runs):
+    """Number of runs, the longest one (least start, then period, of equal ones), digests of all runs and of the rest."""
+    longest = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    listed = "".join(f"{start},{length},{period}\n" for start, length, period in runs)
+    kept = b" ".join(periodic_runs.collapse(words, runs))
+    figures = (*longest, 1000 * longest[1] // longest[2]) if longest else (None,) * 4
+    return (len(runs), *figures, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+_DIGEST = [T.StructField(name, T.LongType()) for name in ("n_runs", "start", "length", "period", "exponent_milli")]
+_DIGEST += [T.StructField(name, T.StringType()) for name in ("runs_sha256", "collapsed_sha256")]
+
+
+def op12_periodic_runs(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", repeated_tail(F.col("text"), F.col("doc_id")))
+    found = periodic_runs.periodic_runs(docs, finish=runs_digest, fields=_DIGEST)
+    return found.select("doc_id", *[f.name for f in _DIGEST])
+
+
+def op13_fair_mix(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return fair_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -94,4 +141,7 @@ QUERIES = {
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_fair_mix": op13_fair_mix,
 }
