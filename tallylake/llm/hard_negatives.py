@@ -47,8 +47,11 @@ class Grid:
 
     def __init__(self, rows):
         sums = rows.select(F.posexplode("v").alias("at", "x")).groupBy("at")
-        found = sorted(sums.agg(F.avg("x"), F.stddev_pop("x")).collect())
+        found = sorted(sums.agg(F.avg("x"), F.stddev_pop("x"), F.max(F.abs("x"))).collect())
         self.size = len(found)
+        most = max((r[3] for r in found), default=0)
+        #: The narrowest number type that holds every component.
+        self.type = np.dtype(next((t for t in (np.int16, np.int32) if most <= np.iinfo(t).max), np.int64))
         spread = np.array([r[2] for r in found])
         self.axes = np.argsort(-spread, kind="stable")[:CURVE_AXES]
         self.bits = min(16, CURVE_BITS // max(1, len(self.axes)))
@@ -79,7 +82,7 @@ def _on_curve(rows, grid, ranges):
     def code(batches):
         for batch in batches:
             matrix = grid.matrix(batch.column("v"))
-            v = pa.array([x.tobytes() for x in np.ascontiguousarray(matrix, np.int64)], pa.binary())
+            v = pa.array([x.tobytes() for x in np.ascontiguousarray(matrix, grid.type)], pa.binary())
             place = pa.array(grid.keys(matrix), pa.binary())
             columns = [place, batch.column("vec_id"), batch.column("label"), v]
             yield pa.RecordBatch.from_arrays(columns, ["place", "vec_id", "label", "v"])
@@ -103,22 +106,23 @@ def _pieces(batches, size):
         yield pa.Table.from_batches(waiting).combine_chunks()
 
 
-def _vectors(column, size):
-    flat = np.frombuffer(b"".join(column.to_pylist()), np.int64)
-    return flat.reshape(len(column), size)
+def _vectors(column, grid):
+    flat = np.frombuffer(b"".join(column.to_pylist()), grid.type)
+    return flat.reshape(len(column), grid.size)
 
 
 def _box(matrix, labels):
     """Zone map of a block: least and greatest of every dimension, and of the label."""
-    return np.concatenate([matrix.min(0), matrix.max(0), [labels.min(), labels.max()]])
+    return np.concatenate([matrix.min(0), matrix.max(0), [labels.min(), labels.max()]]).astype(np.int64)
 
 
-def _write_blocks(folder, size):
+def _write_blocks(folder, grid):
     """Write a partition as files of blocks; yields (file, box of the file). Boxes of blocks stand in the file's footer.
 
     Each attempt writes under names of its own, and only names that a finished task has reported are ever read.
     """
     schema = pa.schema([("vec_id", pa.int64()), ("label", pa.int64()), ("v", pa.binary())])
+    size = grid.size
 
     def run(batches):
         system, path = locate(folder)
@@ -129,7 +133,7 @@ def _write_blocks(folder, size):
             name, boxes = f"{uuid.uuid4().hex}.parquet", []
             with system.open_output_stream(f"{path}/{name}") as out, pq.ParquetWriter(out, schema) as writer:
                 while block is not None and len(boxes) < FILE_BLOCKS:
-                    boxes.append(_box(_vectors(block.column("v"), size), block.column("label").to_numpy()))
+                    boxes.append(_box(_vectors(block.column("v"), grid), block.column("label").to_numpy()))
                     writer.write_table(block.select(schema.names).cast(schema), row_group_size=BLOCK_ROWS)
                     block = next(blocks, None)
                 boxes = np.array(boxes, np.int64)
@@ -254,7 +258,7 @@ class _Windows:
             self.best.add(at[i[inside]] * floors.shape[1] + window, found[inside], ids[j[inside]])
 
 
-def _scan(folder, zones, vectors, size, search):
+def _scan(folder, zones, vectors, grid, search):
     """Let a search read every block that one of its anchors needs, files and blocks of the highest bounds first.
 
     The list of files is read piece by piece; bounds are taken again before each file and block, as windows close.
@@ -266,46 +270,46 @@ def _scan(folder, zones, vectors, size, search):
         with source.open_input_file(where) as stream:
             for batch in pq.ParquetFile(stream).iter_batches(batch_size=1000):
                 names = batch.column("file").to_pylist()
-                boxes = Boxes(b"".join(batch.column("box").to_pylist()), size)
+                boxes = Boxes(b"".join(batch.column("box").to_pylist()), grid.size)
                 low, high = boxes.bounds(vectors, _bound_type(reach, boxes.reach))
                 for f in np.argsort(-high.max(0), kind="stable"):
                     one = boxes.one(f)
                     at = everyone[search.open(everyone, low[:, f:f + 1], high[:, f:f + 1], one)[:, 0]]
                     if len(at):
-                        _scan_file(system, f"{path}/{names[f]}", vectors, reach, size, search, at)
+                        _scan_file(system, f"{path}/{names[f]}", vectors, reach, grid, search, at)
 
 
 def _bound_type(left, right):
     return np.float64 if _exact_type(left, right) is not np.int64 else np.int64
 
 
-def _scan_file(system, path, vectors, reach, size, search, at):
+def _scan_file(system, path, vectors, reach, grid, search, at):
     with system.open_input_file(path) as stream:
         file = pq.ParquetFile(stream)
-        boxes = Boxes(base64.b64decode(file.metadata.metadata[b"boxes"]), size)
+        boxes = Boxes(base64.b64decode(file.metadata.metadata[b"boxes"]), grid.size)
         low, high = boxes.bounds(vectors[at], _bound_type(reach, boxes.reach))
         kind = _exact_type(reach, boxes.reach)
         for b in np.argsort(-high.max(0), kind="stable"):
             need = search.open(at, low[:, b:b + 1], high[:, b:b + 1], boxes.one(b))[:, 0]
             if need.any():
                 block = file.read_row_group(int(b))
-                rows = _vectors(block.column("v"), size).T.astype(kind)
+                rows = _vectors(block.column("v"), grid).T.astype(kind)
                 scores = vectors[at[need]].astype(kind) @ rows
                 search.read(at[need], scores, block.column("vec_id").to_numpy(), block.column("label").to_numpy())
 
 
-def _search(folder, zone_folder, size, positives, negatives, low_pct, high_pct):
+def _search(folder, zone_folder, grid, positives, negatives, low_pct, high_pct):
     names = [n.split()[0] for n in _RESULT.split(", ")]
 
     def run(batches):
         zones = list_files(zone_folder, ".parquet")
         for anchors in _pieces(batches, ANCHORS_A_STEP):
             ids, labels = anchors.column("vec_id").to_numpy(), anchors.column("label").to_numpy()
-            vectors = _vectors(anchors.column("v"), size)
+            vectors = _vectors(anchors.column("v"), grid).astype(np.int64)
             first = _Positives(ids, labels, positives)
-            _scan(folder, zones, vectors, size, first)
+            _scan(folder, zones, vectors, grid, first)
             windows = _Windows(labels, first.best.score, low_pct, high_pct, negatives)
-            _scan(folder, zones, vectors, size, windows)
+            _scan(folder, zones, vectors, grid, windows)
             search, place = np.nonzero(windows.best.score != _NONE)
             anchor, positive = search // positives, search % positives
             columns = [
@@ -338,11 +342,11 @@ def hard_negatives(rows, is_anchor, ident="vec_id", vector="embedding", label="l
     grid = Grid(taking)
     n, asked = taking.count(), asking.count()
     cores = spark.sparkContext.defaultParallelism
-    folder, size = new_folder(spark, "vector-blocks"), grid.size
+    folder = new_folder(spark, "vector-blocks")
     ranges = max(-(-n // (BLOCK_ROWS * FILE_BLOCKS)), min(cores, -(-n // BLOCK_ROWS)), 1)
-    written = _on_curve(taking, grid, ranges).mapInArrow(_write_blocks(folder, size), "file string, box binary")
+    written = _on_curve(taking, grid, ranges).mapInArrow(_write_blocks(folder, grid), "file string, box binary")
     zone_folder = new_folder(spark, "vector-zones")
     written.write.parquet(zone_folder)
     groups = max(-(-asked // ANCHORS_A_STEP), min(4 * cores, -(-asked // 16)), 1)
-    search = _search(folder, zone_folder, size, positives, negatives, low_pct, high_pct)
+    search = _search(folder, zone_folder, grid, positives, negatives, low_pct, high_pct)
     return _on_curve(asking, grid, groups).mapInArrow(search, _RESULT)

@@ -108,11 +108,11 @@ def test_bounds_leave_far_blocks_unread(spark, monkeypatch):
     grid = hard_negatives.Grid(taking)
     blocks = hard_negatives._on_curve(taking, grid, 1).toArrow().combine_chunks().to_batches()
     pieces = list(hard_negatives._pieces(blocks, 8))
-    boxes = [hard_negatives._box(hard_negatives._vectors(p.column("v"), 8), p.column("label").to_numpy()) for p in pieces]
+    boxes = [hard_negatives._box(hard_negatives._vectors(p.column("v"), grid), p.column("label").to_numpy()) for p in pieces]
     boxes = hard_negatives.Boxes(np.concatenate(boxes).tobytes(), 8)
-    anchor = hard_negatives._vectors(pieces[0].column("v"), 8)[:1]
+    anchor = hard_negatives._vectors(pieces[0].column("v"), grid)[:1].astype(np.int64)
     low, high = boxes.bounds(anchor, np.float64)
-    scores = np.concatenate([hard_negatives._vectors(p.column("v"), 8) @ anchor[0] for p in pieces])
+    scores = np.concatenate([hard_negatives._vectors(p.column("v"), grid) @ anchor[0] for p in pieces])
     assert (np.repeat(low[0], 8) <= scores).all() and (scores <= np.repeat(high[0], 8)).all()
     assert (high[0] >= np.sort(scores)[-5]).sum() <= len(pieces) // 4
     assert negatives(spark, rows) == brute_negatives(rows, lambda i: i % 10 == 0)
