@@ -243,8 +243,9 @@ def _runs_and_text(words, runs):
 RUNS_AND_TEXT = [T.StructField("runs", T.ArrayType(_RUN)), T.StructField("collapsed", T.StringType())]
 
 
-def periodic_runs(docs, text="text", finish=_runs_and_text, fields=RUNS_AND_TEXT, spread=SPREAD_WORDS):
-    """docs with new columns made from the periodic runs of their words; by default runs and collapsed.
+def periodic_runs(docs, text="text", finish=_runs_and_text, fields=RUNS_AND_TEXT, spread=SPREAD_WORDS,
+                  keep_text=True):
+    """docs, with keep_text=False without their text, with new columns made from the periodic runs of their words; by default runs and collapsed.
 
     Words lie between the six ASCII spaces and are numbered from 0. A run (start, length, period) is a stretch of at
     least MIN_LENGTH words and two of its smallest periods that no neighbouring word extends. collapsed holds the words
@@ -255,7 +256,7 @@ def periodic_runs(docs, text="text", finish=_runs_and_text, fields=RUNS_AND_TEXT
     with more than `spread` words are spread over tasks. Repeated rows and null ids are separate rows. An empty table
     gives an empty table. Columns that bear a new name are replaced, all others pass.
     """
-    names = {f.name.lower() for f in fields}
+    names = {f.name.lower() for f in fields} | (set() if keep_text else {text.lower()})
     given = [f for f in docs.schema if f.name.lower() not in names]
     kept = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(given)]
     made = [T.StructField(f"f{i}", f.dataType) for i, f in enumerate(fields)]

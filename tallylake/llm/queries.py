@@ -121,7 +121,7 @@ _DIGEST += [T.StructField(name, T.StringType()) for name in ("runs_sha256", "col
 def op12_periodic_runs(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("text", repeated_tail(F.col("text"), F.col("doc_id")))
-    found = periodic_runs.periodic_runs(docs, finish=runs_digest, fields=_DIGEST)
+    found = periodic_runs.periodic_runs(docs, finish=runs_digest, fields=_DIGEST, keep_text=False)
     return found.select("doc_id", *[f.name for f in _DIGEST])
 
 
