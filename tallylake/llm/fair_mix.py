@@ -77,9 +77,13 @@ def _targets(sources, weights, share, most):
     return ranked.select("key", "source_size", "turn", target.alias("target")), budget
 
 
+def _tasks(spark, rows):
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK))
+
+
 def _queued(light, sources, rows):
     """light with its source's turn, size and target, and served: the words of its source up to its own end."""
-    buckets = max(1, -(-rows // ROWS_A_TASK))
+    buckets = _tasks(light.sparkSession, rows)
     bucket = F.pmod(F.shiftrightunsigned("dealt", 20), F.lit(buckets)).alias("bucket")
     dealt = light.select("*", bucket)
     earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -110,8 +114,7 @@ def _copies(queued, most):
 
 def _last_taken(copies, budget, rows):
     """(finish, turn, served) of the last copy within the budget: that whose middle word is, in the global sort."""
-    spark = copies.sparkSession
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK))
+    ranges = _tasks(copies.sparkSession, rows)
     sort = copies.select(*_KEY, "size").repartitionByRange(ranges, *_KEY).sortWithinPartitions(*_KEY)
     sort = stored(sort.withColumn("part", F.spark_partition_id()), "mix-order")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
