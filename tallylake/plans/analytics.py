@@ -10,7 +10,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallylake.functions.expressions import MICROS_PER_DAY, days_as_micros, period_label, ratio, round_dp
-from tallylake.operators.joins import BROADCAST_BYTES, ROWS_PER_TASK, lookup_join
 from tallylake.operators.shared_tables import materialize
 
 
@@ -159,19 +158,21 @@ def delay_rate_by_state(totals, customers, key="customer_key"):
     )
 
 
-def top_categories_per_state(lines, customers, products, k=3, customer_key="customer_key", product_key="product_key",
-                             limit=BROADCAST_BYTES, rows_per_task=ROWS_PER_TASK):
+def top_categories_per_state(lines, customers, products, k=3, customer_key="customer_key", product_key="product_key"):
     """The k best ranks of product categories by revenue in each state; ties share a rank.
 
-    Lines are summed per (customer, category) before they meet the customers.
+    Lines are summed per (customer, product) before they meet the products, per (customer, category) before they meet
+    the customers.
     """
-    categories = products.select(product_key, "product_category_name")
-    per_customer = (
-        lookup_join(lines.select(customer_key, product_key, "payment_value"), categories, product_key, "inner", limit,
-                    rows_per_task)
-        .groupBy(customer_key, "product_category_name")
-        .agg(F.sum("payment_value").alias("revenue"), F.count(F.lit(1)).alias("items_sold"))
+    sums = lambda df, *by: df.groupBy(*by).agg(
+        F.sum("revenue").alias("revenue"), F.sum("items_sold").alias("items_sold")
     )
+    sold = lines.select(
+        customer_key, product_key, F.col("payment_value").alias("revenue"), F.lit(1).cast("bigint").alias("items_sold")
+    )
+    per_product = sums(sold, customer_key, product_key)
+    categories = products.select(product_key, "product_category_name")
+    per_customer = sums(per_product.join(categories, product_key), customer_key, "product_category_name")
     per_state = (
         per_customer.join(customers.select(customer_key, "customer_state"), customer_key)
         .groupBy("customer_state", "product_category_name")
@@ -192,11 +193,11 @@ def top_categories_per_state(lines, customers, products, k=3, customer_key="cust
     )
 
 
-def top_categories(lines, products, n=8, key="product_key", limit=BROADCAST_BYTES, rows_per_task=ROWS_PER_TASK):
+def top_categories(lines, products, n=8, key="product_key"):
     """The n product categories with the highest revenue. Lines are summed per product before the join."""
     per_product = lines.groupBy(key).agg(F.sum("payment_value").alias("revenue"))
     return (
-        lookup_join(per_product, products.select(key, "product_category_name"), key, "left", limit, rows_per_task)
+        per_product.join(products.select(key, "product_category_name"), key, "left")
         .where(F.col("product_category_name").isNotNull())
         .groupBy("product_category_name")
         .agg(F.sum("revenue").cast("double").alias("payment_value"))
@@ -205,13 +206,11 @@ def top_categories(lines, products, n=8, key="product_key", limit=BROADCAST_BYTE
     )
 
 
-def enriched_lines(lines, customers, products, customer_key="customer_key", product_key="product_key",
-                   limit=BROADCAST_BYTES, rows_per_task=ROWS_PER_TASK):
+def enriched_lines(lines, customers, products, customer_key="customer_key", product_key="product_key"):
     """Lines left-joined with the customer's state and city and the product's category: the dashboard's base."""
     places = customers.select(customer_key, "customer_state", "customer_city")
-    with_place = lookup_join(lines, places, customer_key, "left", limit, rows_per_task)
     categories = products.select(product_key, "product_category_name")
-    return lookup_join(with_place, categories, product_key, "left", limit, rows_per_task)
+    return lines.join(places, customer_key, "left").join(categories, product_key, "left")
 
 
 def executive_kpis(totals):

@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallylake.functions.expressions import date_key
-from tallylake.operators.joins import BROADCAST_BYTES, ROWS_PER_TASK, lookup_join, salted_join
-from tallylake.operators.ranking import SINGLE_TASK_ROWS, global_row_number
+from tallylake.operators.ranking import global_row_number
 from tallylake.schemas import GOLD, MONEY
 
 
@@ -12,18 +11,16 @@ def _goods():
     return (F.col("price") + F.col("freight_value")).cast(MONEY)
 
 
-def dim_customers(customers, single_task_rows=SINGLE_TASK_ROWS):
+def dim_customers(customers):
     """One row per customer_id; customer_key is 1..n in the order of customer_id."""
-    keyed = global_row_number(customers, ["customer_id"], "customer_key", single_task_rows)
-    return keyed.select(*GOLD["dim_customers"])
+    return global_row_number(customers, "customer_id", "customer_key").select(*GOLD["dim_customers"])
 
 
-def dim_products(products, single_task_rows=SINGLE_TASK_ROWS):
+def dim_products(products):
     """One row per product_id with its volume; product_key is 1..n in the order of product_id."""
     sides = [F.col(f"product_{side}_cm").cast("bigint") for side in ("length", "height", "width")]
     sized = products.withColumn("product_volume_cm3", sides[0] * sides[1] * sides[2])
-    keyed = global_row_number(sized, ["product_id"], "product_key", single_task_rows)
-    return keyed.select(*GOLD["dim_products"])
+    return global_row_number(sized, "product_id", "product_key").select(*GOLD["dim_products"])
 
 
 def dim_date(orders):
@@ -89,18 +86,18 @@ def totals_from_fact(fact):
     )
 
 
-def order_lines(orders, items, payments, allocate=False, rows_per_task=ROWS_PER_TASK, counted_items=None):
+def order_lines(orders, items, payments, allocate=False):
     """Order lines with their order's columns and payment_value: the order's payment, else the line's goods value.
 
     The payment repeats on each line. With allocate, payment_allocated spreads it over the lines by goods value, so
-    that it adds up to what was paid. counted_items may name the items without looked-up columns for the counts.
+    that it adds up to what was paid. All joins are on order_id: tables bucketed by it meet without an exchange, and a
+    hot order is split by adaptive execution.
     """
-    counted_items = items if counted_items is None else counted_items
     order_side = orders.join(payment_totals(payments), "order_id", "left")
     if allocate:
-        totals = line_totals(counted_items).select("order_id", "line_count", "goods_value")
+        totals = line_totals(items).select("order_id", "line_count", "goods_value")
         order_side = order_side.join(totals, "order_id")
-    lines = salted_join(items, order_side, "order_id", "inner", rows_per_task, counted_items)
+    lines = items.join(order_side, "order_id")
     paid = F.col("order_payment")
     lines = lines.withColumn("payment_value", F.coalesce(paid, _goods()).cast(MONEY))
     if allocate:
@@ -110,34 +107,23 @@ def order_lines(orders, items, payments, allocate=False, rows_per_task=ROWS_PER_
     return lines.drop("order_payment")
 
 
-def fact_orders(orders, items, payments, customers, products, limit=BROADCAST_BYTES, rows_per_task=ROWS_PER_TASK):
+def fact_orders(orders, items, payments, customers, products):
     """The order-line fact with surrogate keys from dim_customers and dim_products.
 
-    The customer key is looked up once per order and the product key before the order columns widen the line.
+    The customer key is looked up once per order, the product key once per line after the lines met their orders.
     """
-    customer_keys = customers.select("customer_id", "customer_key")
-    product_keys = products.select("product_id", "product_key")
-    keyed_orders = lookup_join(
-        orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp", "actual_delivery_days",
-                      "estimated_delivery_days", "is_delayed", "order_year", "order_month"),
-        customer_keys, "customer_id", "left", limit, rows_per_task,
-    )
-    keyed_items = lookup_join(
-        items.select("order_id", "order_item_id", "product_id", "price", "freight_value"),
-        product_keys, "product_id", "left", limit, rows_per_task,
-    )
-    lines = order_lines(keyed_orders, keyed_items, payments, True, rows_per_task, items)
+    chosen = orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp",
+                           "actual_delivery_days", "estimated_delivery_days", "is_delayed", "order_year", "order_month")
+    keyed_orders = chosen.join(customers.select("customer_id", "customer_key"), "customer_id", "left")
+    lines = order_lines(keyed_orders, items.select("order_id", "product_id", "price", "freight_value"), payments, True)
+    lines = lines.join(products.select("product_id", "product_key"), "product_id", "left")
     return lines.withColumn("date_key", date_key(F.col("order_purchase_timestamp"))).select(*GOLD["fact_orders"])
 
 
-def fact_orders_denormalised(orders, items, payments, customers, products, limit=BROADCAST_BYTES,
-                             rows_per_task=ROWS_PER_TASK):
+def fact_orders_denormalised(orders, items, payments, customers, products):
     """Order lines with natural keys, the order's total payment, customer city and state, and product category."""
     places = customers.select("customer_id", "customer_city", "customer_state")
     categories = products.select("product_id", "product_category_name")
     totals = payment_totals(payments).withColumnRenamed("order_payment", "total_payment")
-    order_side = lookup_join(orders, places, "customer_id", "left", limit, rows_per_task).join(
-        totals, "order_id", "left"
-    )
-    lines = lookup_join(items, categories, "product_id", "left", limit, rows_per_task)
-    return salted_join(lines, order_side, "order_id", "inner", rows_per_task, items)
+    order_side = orders.join(places, "customer_id", "left").join(totals, "order_id", "left")
+    return items.join(order_side, "order_id").join(categories, "product_id", "left")

@@ -1,7 +1,6 @@
 """From raw files to reports, one layer after the other. Each layer is written before the next one reads it."""
 
 from tallylake.operators.dedup import POSITION, split_null_keys
-from tallylake.operators.ranking import SINGLE_TASK_ROWS
 from tallylake.plans import analytics, gold, quality, rfm, silver
 from tallylake.schemas import KEYS, PARTITIONS
 from tallylake.sources.bronze import land, read_bronze
@@ -41,17 +40,17 @@ def silver_tables(spark, silver_path):
     return {table: read_table(spark, f"{silver_path}/{table}") for table in _CLEAN}
 
 
-def build_gold(spark, silver_path, gold_path, single_task_rows=SINGLE_TASK_ROWS):
+def build_gold(spark, silver_path, gold_path):
     """Write dimensions first, so that the fact looks its keys up in stored tables, then the fact and the features."""
     s = silver_tables(spark, silver_path)
     customers, orders, items, payments = s["customers"], s["orders"], s["order_items"], s["order_payments"]
-    write_table(gold.dim_customers(customers, single_task_rows), f"{gold_path}/dim_customers")
-    write_table(gold.dim_products(s["products"], single_task_rows), f"{gold_path}/dim_products")
+    write_table(gold.dim_customers(customers), f"{gold_path}/dim_customers")
+    write_table(gold.dim_products(s["products"]), f"{gold_path}/dim_products")
     write_table(gold.dim_date(orders), f"{gold_path}/dim_date")
     dims = gold_tables(spark, gold_path, ["dim_customers", "dim_products"])
     fact = gold.fact_orders(orders, items, payments, dims["dim_customers"], dims["dim_products"])
     write_table(fact, f"{gold_path}/fact_orders", PARTITIONS["fact_orders"])
-    features = rfm.rfm_features(orders, customers, payments, single_task_rows=single_task_rows)
+    features = rfm.rfm_features(orders, customers, payments)
     write_table(features, f"{gold_path}/features_customer_rfm")
 
 

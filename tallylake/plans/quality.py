@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallylake.functions.expressions import MICROS_PER_DAY, days_as_micros, percent_text, ratio, round_dp
-from tallylake.operators.ranking import SINGLE_TASK_ROWS, exact_percentiles
+from tallylake.operators.ranking import exact_percentiles
 from tallylake.operators.shared_tables import materialize
 
 # The names of the four tests in the report.
@@ -14,23 +14,27 @@ OUTLIER_TEST = "Payment Value Statistical Outlier Profile (IQR)"
 SLA_TEST = "Delivery SLA Statistical Distribution"
 
 MAX_MEAN_DELIVERY_DAYS = 25.0
+_QUARTILES = [0.25, 0.75]
 
 
 class QualityGateError(Exception):
     """A quality test failed and the caller asked to stop on failure."""
 
 
-def percentiles(df, column, fractions, approx=False, single_task_rows=SINGLE_TASK_ROWS):
-    """Exact percentiles, or with approx those of approxQuantile (no interpolation, one cheap pass)."""
-    if approx:
-        found = df.select(F.col(column).cast("double").alias("v")).approxQuantile("v", fractions, 0.001)
-        return found or [None] * len(fractions)
-    return exact_percentiles(df, column, fractions, single_task_rows)
+def percentiles(df, columns, approx=False):
+    """{column: [float, ...]} for {column: fractions}: exact percentiles, or with approx those of approxQuantile."""
+    if not approx:
+        return exact_percentiles(df, columns)
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return {c: doubles.approxQuantile(c, f, 0.001) or [None] * len(f) for c, f in columns.items()}
 
 
 def outlier_bounds(df, column, **options):
     """(q1, q3, lower, upper) by the 1.5 IQR rule, lower not below zero; four None without values."""
-    q1, q3 = percentiles(df, column, [0.25, 0.75], **options)
+    return _bounds(*percentiles(df, {column: _QUARTILES}, **options)[column])
+
+
+def _bounds(q1, q3):
     if q1 is None:
         return None, None, None, None
     spread = 1.5 * (q3 - q1)
@@ -69,9 +73,15 @@ def _rows(df, passed, metrics):
 
 
 def quality_report(orders, payments, **options):
-    """The four quality tests as rows (test, metric, value, passed). One aggregate pass per table plus percentiles."""
-    (p95,) = percentiles(orders, "actual_delivery_days", [0.95], **options)
-    q1, q3, low, high = outlier_bounds(payments, "payment_value", **options)
+    """The four quality tests as rows (test, metric, value, passed). One aggregate pass per table plus percentiles.
+
+    Both tables' percentiles come from the same two passes over their values, one above the other.
+    """
+    durations = orders.select("actual_delivery_days", F.lit(None).cast("double").alias("payment_value"))
+    amounts = payments.select(F.lit(None).cast("double"), F.col("payment_value").cast("double"))
+    wanted = {"actual_delivery_days": [0.95], "payment_value": _QUARTILES}
+    found = percentiles(durations.unionAll(amounts), wanted, **options)
+    (p95,), (q1, q3, low, high) = found["actual_delivery_days"], _bounds(*found["payment_value"])
     days = F.col("actual_delivery_days")
     order_stats = orders.agg(
         F.count(F.lit(1)).alias("total"),
@@ -195,7 +205,7 @@ def drift_report(df, column, baseline=None, **options):
         baseline = (first[0], first[1]) if first else (0, 0)
     year, month = baseline
     in_baseline = (F.col("order_year") == year) & (F.col("order_month") == month)
-    cuts = percentiles(dated.where(in_baseline), column, [i / _BINS for i in range(1, _BINS)], **options)
+    cuts = percentiles(dated.where(in_baseline), {column: [i / _BINS for i in range(1, _BINS)]}, **options)[column]
     value = F.col(column).cast("double")
     bin_number = F.lit(_BINS - 1)
     for i, cut in reversed(list(enumerate(cuts))):

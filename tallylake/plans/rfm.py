@@ -1,15 +1,11 @@
 """Recency, frequency and monetary value per person, quartile scores and segments."""
 
+import sys
+
 from pyspark.sql import functions as F
 
 from tallylake.functions.expressions import MICROS_PER_DAY, micros_between
-from tallylake.operators.ranking import (
-    SINGLE_TASK_ROWS,
-    bucket_by_position,
-    equal_width_positions,
-    exact_percentiles,
-    ntile_positions,
-)
+from tallylake.operators.ranking import bucket_by_position, equal_width_positions, ntile_positions
 from tallylake.operators.shared_tables import materialize
 from tallylake.plans.gold import payment_totals
 from tallylake.schemas import GOLD
@@ -88,34 +84,29 @@ def _code():
     return F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")])
 
 
-def rfm_features(orders, customers, payments, snapshot=None, single_task_rows=SINGLE_TASK_ROWS):
+def rfm_features(orders, customers, payments, snapshot=None):
     """RFM features with scores 1..4 (4 is best), their code and the segment of each person.
 
     Recency is cut at its quartile values; frequency and spend at quartile positions in the order (value, person),
-    so equal values may fall on both sides of a cut. The base is written once because four passes read it.
+    so equal values may fall on both sides of a cut. The base is written once because several passes read it.
     """
     base = materialize(rfm_base(orders, customers, payments, snapshot), "rfm")
-    n = base.count()
-    low, middle, high = exact_percentiles(base, "recency_days", [0.25, 0.5, 0.75], single_task_rows)
+    person = F.col("customer_unique_id")
+    by_position = {"f_score": (F.col("frequency_orders"), person), "m_score": (F.col("monetary_spend"), person)}
+    quartiles = {"recency_days": [0.25, 0.5, 0.75]}
+    scored, found = bucket_by_position(base, by_position, equal_width_positions, [1, 2, 3, 4], quartiles)
+    low, middle, high = (F.lit(q).cast("double") for q in found["recency_days"])
     recency = F.col("recency_days")
     r_score = F.when(recency <= low, 4).when(recency <= middle, 3).when(recency <= high, 2).otherwise(1)
-
-    def by_position(value):
-        key = [("value", F.col(value)), ("person", F.col("customer_unique_id"))]
-        return bucket_by_position(base, key, equal_width_positions(n), [1, 2, 3, 4], single_task_rows)
-
     return (
-        base.withColumn("r_score", r_score)
-        .withColumn("f_score", by_position("frequency_orders"))
-        .withColumn("m_score", by_position("monetary_spend"))
+        scored.withColumn("r_score", r_score)
         .withColumn("rfm_combined_score", _code())
         .withColumn("customer_segment", segment(F.col("r_score"), F.col("f_score"), F.col("m_score")))
         .select(*GOLD["features_customer_rfm"])
     )
 
 
-def rfm_features_ntile(orders, customers, payments, snapshot=None, best_is_four=True,
-                       single_task_rows=SINGLE_TASK_ROWS):
+def rfm_features_ntile(orders, customers, payments, snapshot=None, best_is_four=True):
     """RFM features scored by NTILE(4) with the four-way segments. Equal values are put in order by person.
 
     Recency counts calendar days up to the snapshot date, by default the day after the newest order; spend is null
@@ -131,19 +122,19 @@ def rfm_features_ntile(orders, customers, payments, snapshot=None, best_is_four=
         F.col("spend").alias("monetary_spend"),
     )
     base = materialize(people, "rfm-ntile")
-    n = base.count()
 
-    def tile(value, descending):
-        sort_value = -F.col(value) if descending else F.col(value)
+    def order(value, descending):
         # Persons without a value come first in ascending and last in descending order.
-        missing = F.col(value).isNull() if descending else F.col(value).isNotNull()
-        key = [("missing", missing), ("value", sort_value), ("person", F.col("customer_unique_id"))]
-        return bucket_by_position(base, key, ntile_positions(n), [1, 2, 3, 4], single_task_rows)
-
-    return (
-        base.withColumn("r_score", tile("recency_days", best_is_four))
-        .withColumn("f_score", tile("frequency_orders", not best_is_four))
-        .withColumn("m_score", tile("monetary_spend", not best_is_four))
-        .withColumn("rfm_score", _code())
-        .withColumn("segment", four_way_segment(F.col("r_score"), F.col("f_score")))
+        number = -F.col(value).cast("double") if descending else F.col(value).cast("double")
+        missing = sys.float_info.max if descending else -sys.float_info.max
+        return F.coalesce(number, F.lit(missing)), F.col("customer_unique_id")
+
+    orders_of = {
+        "r_score": order("recency_days", best_is_four),
+        "f_score": order("frequency_orders", not best_is_four),
+        "m_score": order("monetary_spend", not best_is_four),
+    }
+    scored, _ = bucket_by_position(base, orders_of, ntile_positions, [1, 2, 3, 4])
+    return scored.withColumn("rfm_score", _code()).withColumn(
+        "segment", four_way_segment(F.col("r_score"), F.col("f_score"))
     )

@@ -1,17 +1,15 @@
 """Run a registered query and its SQL counterpart and compare them as sets of rows."""
 
 import datetime
+from pathlib import Path
 
 import duckdb
 import pandas as pd
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
-
 def oracle_frame(statement, sf_dir):
     with duckdb.connect() as con:
-        for table in TABLES:
-            con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
+        for path in sorted(Path(sf_dir).glob("*.parquet")):
+            con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
         return con.execute(statement).fetchdf()
 
 

@@ -7,14 +7,14 @@ from tallylake.plans import analytics, gold, silver
 from tests.frames import customer, item, order, payment, product, rows, table
 
 
-def build(spark, orders, items, payments, **options):
+def build(spark, orders, items, payments):
     customers = gold.dim_customers(silver.clean_customers(table(spark, "customers", [customer("c2"), customer("c1")])))
     products = gold.dim_products(silver.clean_products(table(spark, "products", [product("p2"), product("p1")])))
     return gold.fact_orders(
         silver.clean_orders(table(spark, "orders", orders)),
         silver.clean_order_items(table(spark, "order_items", items)),
         silver.clean_payments(table(spark, "order_payments", payments)),
-        customers, products, **options,
+        customers, products,
     )
 
 
@@ -24,9 +24,16 @@ ITEMS = [item("o1", 1, "p1", 10, 2), item("o1", 2, "p2", 20, 4), item("o1", 3, "
 PAYMENTS = [payment("o1", 40, 1), payment("o1", 50, 2), payment("o2", -50)]
 
 
-@pytest.mark.parametrize("options", [{}, {"limit": 0, "rows_per_task": 1}])
-def test_fact(spark, options):
-    fact = build(spark, ORDERS, ITEMS, PAYMENTS, **options)
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_fact(spark, broadcast):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        check_fact(build(spark, ORDERS, ITEMS, PAYMENTS))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def check_fact(fact):
     got = rows(
         fact.select("order_id", "customer_key", "product_key", "date_key", F.col("payment_value").cast("double"),
                     F.round("payment_allocated", 6)), "*"
@@ -69,11 +76,10 @@ def test_dim_date_of_no_orders(spark):
     assert gold.dim_date(table(spark, "orders", [])).count() == 0
 
 
-def test_keys_are_dense_on_both_ranking_paths(spark):
+def test_keys_are_dense_and_in_order(spark):
     customers = silver.clean_customers(table(spark, "customers", [customer(f"c{i}") for i in range(60)]))
-    small, large = (rows(gold.dim_customers(customers, n), "customer_id", "customer_key") for n in (1000, 5))
-    assert small == large
-    assert sorted(key for _, key in small) == list(range(1, 61))
+    keyed = rows(gold.dim_customers(customers), "customer_id", "customer_key")
+    assert keyed == sorted((c, i) for i, c in enumerate(sorted(f"c{i}" for i in range(60)), 1))
 
 
 def test_volume_does_not_overflow(spark):

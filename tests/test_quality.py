@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallylake.operators import ranking
 from tallylake.plans import quality, silver
 from tallylake.sources.tables import read_json_report, write_json_report
 from tests.frames import order, payment, rows, table
@@ -29,9 +30,10 @@ def metrics(report):
     return {r["metric"]: (r["value"], r["passed"]) for r in report.collect()}
 
 
-@pytest.mark.parametrize("limit", [1000, 2])
-def test_report(sample, limit):
-    got = metrics(quality.quality_report(*sample, single_task_rows=limit))
+@pytest.mark.parametrize("most", [1000, 2])
+def test_report(sample, monkeypatch, most):
+    monkeypatch.setattr(ranking, "MOST_VALUES", most)
+    got = metrics(quality.quality_report(*sample))
     q1, q3 = np.percentile([10, 20, 30, 40, 50, 60, 70, 5000], [25, 75])
     days = np.arange(1, 9)
     assert got["null_count"] == (0, True) and got["total_records"] == got["unique_records"] == (9, True)

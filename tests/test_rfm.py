@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tallylake.operators import ranking
 from tallylake.plans import rfm, silver
 from tests.frames import customer, order, payment, table, ts
 
@@ -40,10 +41,11 @@ def people(spark, n):
     )
 
 
-@pytest.mark.parametrize("limit", [1000, 3])
-def test_features_of_made_up_people(spark, limit):
+@pytest.mark.parametrize("most", [1000, 3])
+def test_features_of_made_up_people(spark, monkeypatch, most):
     """45 people: the first buckets by position hold 12, 11, 11 and 11; scores never fall as their value rises."""
-    found = rfm.rfm_features(*people(spark, 45), single_task_rows=limit).toPandas().set_index("customer_unique_id")
+    monkeypatch.setattr(ranking, "MOST_VALUES", most)
+    found = rfm.rfm_features(*people(spark, 45)).toPandas().set_index("customer_unique_id")
     assert len(found) == 45
     for i in (1, 2, 3, 44):
         person = found.loc[f"u{i:03d}"]
