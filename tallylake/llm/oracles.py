@@ -26,4 +26,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLES = {"op2_decontamination": _OP2}
+_OP11 = """
+WITH taking AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS wanted, r.vec_id, r.label,
+           CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM taking a JOIN taking r ON a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, wanted, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE label = wanted AND vec_id <> anchor_id
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM positives JOIN scored USING (anchor_id)
+WHERE label <> positives.wanted AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+ORACLES = {"op2_decontamination": _OP2, "op11_hard_negatives": _OP11}
