@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import sample_oracles  # noqa: E402
-from tallylake.plans import analytics, gold, quality, rfm, silver  # noqa: E402
+from tallylake.operators.shared_tables import new_path  # noqa: E402
+from tallylake.plans import analytics, cube, gold, quality, rfm, silver  # noqa: E402
+from tallylake.schemas import KEYS  # noqa: E402
 from tallylake.sources import sample_tables as sample  # noqa: E402
+from tallylake.sources.bronze import land, read_bronze  # noqa: E402
 from tallylake.sources.tables import audit_counts, register_views, run_sql  # noqa: E402
 from tallylake.streaming import landing  # noqa: E402
 
@@ -80,6 +83,11 @@ class _Retail:
     def totals(self):
         return gold.order_totals(self.orders, self.items, self.payments)
 
+    def cells(self, **slicers):
+        """A slice of the stored cube."""
+        built = cube.sales_cube(self.orders, self.items, self.payments, self.customers, self.products)
+        return cube.sliced(cube.store_cube(built, new_path(self.spark, "sales-cube")), **slicers)
+
     @property
     def features(self):
         return rfm.rfm_features(self.orders, self.customers, self.payments)
@@ -158,7 +166,22 @@ def _stream(t):
     return landing.read_available(landing.windowed_revenue(events), "stream-revenue")
 
 
+def _landed(t, table, fmt, changed):
+    """A raw table written as files, its first rows once more with a changed value after the others, and landed."""
+    raw = t.raw(table, as_text=True) if table == "orders" else t.raw(table)
+    key = KEYS[table][0]
+    first = raw.dropDuplicates([key])
+    later = first.where(F.col(key).cast("int") < 500).withColumn(changed, F.lit("later"))
+    source, bronze = new_path(t.spark, "raw-files"), new_path(t.spark, "bronze")
+    rows = first.unionByName(later).select([F.col(c).cast("string") for c in first.columns])
+    rows.write.option("header", True).format(fmt).save(f"{source}/{table}_raw.{fmt}")
+    land(t.spark, source, bronze)
+    return read_bronze(t.spark, bronze, table, fmt)
+
+
 _QUERIES = {
+    "bronze_csv_roundtrip": lambda t: silver.clean_orders(_landed(t, "orders", "csv", "order_status")),
+    "bronze_json_roundtrip": lambda t: silver.clean_customers(_landed(t, "customers", "json", "customer_city")),
     "silver_customers": lambda t: t.customers,
     "silver_products": lambda t: t.products,
     "silver_orders": lambda t: silver.clean_orders(t.raw("orders", as_text=True)),
@@ -199,6 +222,18 @@ _QUERIES = {
     "delay_rate_by_state": lambda t: analytics.delay_rate_by_state(t.totals, t.customers, "customer_id"),
     "executive_kpis": lambda t: analytics.executive_kpis(t.totals),
     "executive_kpis_sliced": _sliced_kpis,
+    "executive_kpis_cube_sliced": lambda t: cube.cube_kpis(
+        t.cells(categories=["ECONOMY", "STANDARD"], years=[1996, 1998, 2000], statuses=["delivered", "shipped"])
+    ),
+    "monthly_gmv_sliced": lambda t: cube.cube_monthly_gmv(
+        t.cells(states=["NATION_0", "NATION_7"], categories=["ECONOMY", "PROMO", "unlabeled"]), canceled=False
+    ),
+    "delay_rate_by_state_sliced": lambda t: cube.cube_delay_rate_by_state(
+        t.cells(years=[1997, 1998], months=[1, 2, 3, 12], categories=["SMALL", "MEDIUM", "LARGE"])
+    ),
+    "top_categories_sliced": lambda t: cube.cube_top_categories(
+        t.cells(states=["NATION_1", "NATION_2", "NATION_3"], months=[6, 7], statuses=["delivered"]), 8
+    ),
     "state_options": lambda t: analytics.filter_options(t.customers, "customer_state", 5),
     "status_share": lambda t: analytics.status_share(t.totals),
     "on_time_counts": lambda t: analytics.on_time_counts(t.totals),

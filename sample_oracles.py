@@ -349,6 +349,8 @@ _SILVER_QUERIES = {
     "silver_customers": "SELECT * FROM customers",
     "silver_products": "SELECT * FROM products",
     "silver_orders": f"SELECT {_ORDER_COLUMNS} FROM clean_orders",
+    "bronze_csv_roundtrip": f"SELECT {_ORDER_COLUMNS} FROM clean_orders",
+    "bronze_json_roundtrip": "SELECT * FROM customers",
     "silver_order_items": f"SELECT {_ITEM_COLUMNS} FROM items",
     "silver_payments": f"SELECT {_PAYMENT_COLUMNS} FROM payments",
     "table_audit": """
@@ -447,6 +449,28 @@ _GOLD_QUERIES = {
     "executive_kpis_sliced": _kpis(
         """WHERE customer_state IN ('NATION_1', 'NATION_2', 'NATION_3')
            AND product_category_name IN ('ECONOMY', 'PROMO')""", "star"),
+    "executive_kpis_cube_sliced": _kpis(
+        """WHERE product_category_name IN ('ECONOMY', 'STANDARD') AND order_year IN (1996, 1998, 2000)
+           AND order_status IN ('delivered', 'shipped')""", "star"),
+    "monthly_gmv_sliced": """
+        SELECT order_year, order_month, CAST(SUM(payment_value) AS DOUBLE) AS payment_value,
+               order_year || '-' || lpad(CAST(order_month AS VARCHAR), 2, '0') AS period,
+               COUNT(DISTINCT order_id) AS total_orders
+        FROM star WHERE customer_state IN ('NATION_0', 'NATION_7') AND order_status <> 'canceled'
+             AND product_category_name IN ('ECONOMY', 'PROMO', 'unlabeled')
+        GROUP BY order_year, order_month""",
+    "delay_rate_by_state_sliced": """
+        SELECT customer_state, CAST(COUNT(order_id) AS BIGINT) AS total, CAST(SUM(is_delayed) AS BIGINT) AS delayed,
+               CAST(SUM(is_delayed) AS DOUBLE) / COUNT(order_id) * 100 AS delay_rate
+        FROM star WHERE order_status = 'delivered' AND order_year IN (1997, 1998) AND order_month IN (1, 2, 3, 12)
+             AND product_category_name IN ('SMALL', 'MEDIUM', 'LARGE')
+        GROUP BY customer_state""",
+    "top_categories_sliced": """
+        SELECT product_category_name, CAST(SUM(payment_value) AS DOUBLE) AS payment_value,
+               COUNT(DISTINCT order_id) AS total_orders
+        FROM star WHERE customer_state IN ('NATION_1', 'NATION_2', 'NATION_3') AND order_month IN (6, 7)
+             AND order_status = 'delivered' AND product_category_name IS NOT NULL
+        GROUP BY 1 ORDER BY payment_value DESC, product_category_name LIMIT 8""",
     "status_share": """
         SELECT order_status, COUNT(*) AS lines,
                ROUND(CAST(COUNT(*) AS DOUBLE) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) * 100, 1) AS share_pct

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallylake.operators.shared_tables import materialize
+
 #: Size parameter of the sketches, and the ranks on each side of a place that a bracket spans: ten standard errors.
 SKETCH_K = 4096
 MARGIN = 0.005
@@ -242,6 +244,21 @@ def global_row_number(df, key, name):
     return numbered.join(offsets, "_head").select(*df.columns, place.alias(name))
 
 
+def sorted_numbers(df, order, name):
+    """Add name = 0..n-1 in the order of columns that identify a row.
+
+    Rows are sorted over ranges and stored once with their place in the range; the rows of earlier ranges are added.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # the low bits count within a partition
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = materialize(ranges.withColumns({"_part": F.spark_partition_id(), "_place": place}), "sorted")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    counts = ranges.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = ranges.join(F.broadcast(offsets), "_part")  # as many rows as the sort has ranges
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_place")).alias(name))
+
+
 def equal_width_positions(n, buckets=4):
     """Last place of each bucket but the final one when positions 1..n are cut at their linear quantiles."""
     return [(s * (n - 1)) // buckets for s in range(1, buckets)]

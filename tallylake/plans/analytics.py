@@ -229,6 +229,11 @@ def executive_kpis(totals):
         F.sum(F.col("is_delayed") * _lines()).alias("delayed"),
         F.sum("is_delayed").alias("delayed_once"),
     )
+    return kpi_row(sums)
+
+
+def kpi_row(sums):
+    """The key figures from gmv, total_orders, delivered_lines, delayed_delivered, delayed and delayed_once."""
     orders, delayed = F.col("total_orders"), F.coalesce("delayed", F.lit(0))
     return sums.select(
         F.coalesce(F.col("gmv").cast("double"), F.lit(0.0)).alias("gmv"),

@@ -1,7 +1,12 @@
-"""Bronze zone: raw files as text under year=/month=/day= folders, any Hadoop file system (file, s3a, gs, ...)."""
+"""Bronze zone: raw files as text under year=/month=/day= folders, any Hadoop file system (file, s3a, gs, ...).
+
+Every landed row carries its lineage: the file it came from, the start of its split there, and its place in the split.
+These give the order of the source's rows, however many parts the source and the landed copy have.
+"""
 
 import datetime
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -13,6 +18,18 @@ from tallylake.schemas import RAW
 _CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
 # Not Spark's default name, which would make the column special again when the landed file is read.
 _MISFIT = "_misfit_line"
+LINEAGE = {"_source_file": "string", "_source_block": "bigint", "_source_row": "bigint"}
+_LINE = "_source_line"
+#: Rows of a landed part. Quoted line breaks may be in it, so it is read whole by one task.
+_ROWS_PER_FILE = 1_000_000
+#: Tables that are landed at the same time.
+_AT_ONCE = 4
+
+
+def _lineage():
+    """Split in the source, then row in the split: in this order the rows stand as in the source."""
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    return [c.alias(name) for c, name in zip(place, LINEAGE)]
 
 
 def list_files(spark, folder, glob="*.{csv,json}", deep=False):
@@ -31,27 +48,36 @@ def _names(spark, source):
     return [row["name"] for row in found.select(F.when(is_part, parent).otherwise(last).alias("name")).distinct().collect()]
 
 
-def land(spark, source, bronze, on=None):
-    """Copy every raw .csv and .json file of source, all values as text, into the partition of a date.
+def land(spark, source, bronze, on=None, multiline=False):
+    """Copy every raw .csv and .json file of source, all values as text with their lineage, into a date's partition.
 
     Returns the names landed. Each file is read and written in parallel splits, so it lands as a folder of parts
-    under its own name. A CSV line that does not fit its header lands with the whole line in _misfit_line. A rerun
-    for the same date overwrites that date only.
+    under its own name; several files land at a time. A CSV line that does not fit its header lands with the whole line
+    in _misfit_line. Values with quoted line breaks need multiline=True, which reads each file of the source in one
+    task. A rerun for the same date overwrites that date only.
     """
     on = on or datetime.date.today()
     names = sorted(_names(spark, source))
     if not names:
         warnings.warn(f"no .csv or .json files in {source}", stacklevel=2)
     day = f"{bronze}/year={on.year}/month={on.month:02d}/day={on.day:02d}"
-    for name in names:
+
+    def copy(name):
         path = f"{source}/{name}"
         if name.endswith(".json"):
-            spark.read.text(path).write.mode("overwrite").text(f"{day}/{name}")
-        else:
-            header = spark.read.options(**_CSV).csv(path).columns
-            columns = ", ".join(f"`{c}` string" for c in [*header, _MISFIT])
-            text = spark.read.schema(columns).options(**_CSV, columnNameOfCorruptRecord=_MISFIT).csv(path)
-            text.write.mode("overwrite").options(**_CSV, emptyValue='""').csv(f"{day}/{name}")
+            lines = spark.read.text(path).select(*_lineage(), F.col("value").alias(_LINE))
+            lines.write.mode("overwrite").option("maxRecordsPerFile", _ROWS_PER_FILE).json(f"{day}/{name}")
+            return
+        read = spark.read.options(**_CSV, multiLine=multiline)
+        header = read.csv(path).columns
+        columns = ", ".join(f"`{c}` string" for c in [*header, _MISFIT])
+        text = read.schema(columns).option("columnNameOfCorruptRecord", _MISFIT).csv(path)
+        text = text.select(*[F.col(f"`{c}`") for c in text.columns], *_lineage())
+        write = text.write.mode("overwrite").options(**_CSV, emptyValue='""', maxRecordsPerFile=_ROWS_PER_FILE)
+        write.csv(f"{day}/{name}")
+
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        list(pool.map(copy, names))
     return names
 
 
@@ -63,21 +89,31 @@ def partitions(spark, bronze, table, fmt="csv"):
     return found.select(*[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")], folder).distinct()
 
 
-def read_raw(spark, path, table, fmt="csv"):
-    """Read raw files as text columns, missing-value texts as null, with each row's place in its file.
+def read_raw(spark, path, table, fmt="csv", multiline=False):
+    """Read raw or landed files as text columns, missing-value texts as null, with each row's place in its source.
 
-    CSV columns are found by their header name and a file whose header differs raises. Parquet input keeps its types.
+    CSV columns are found by their header name and a file whose header differs raises. Quoted line breaks need
+    multiline=True, except in landed files. Parquet input keeps its types.
     """
     columns = list(RAW[table])
     if fmt == "csv":
-        read = spark.read.options(**_CSV, enforceSchema=False).csv(path)
+        read = spark.read.options(**_CSV, enforceSchema=False)
+        df = read.option("multiLine", multiline).csv(path)
+        if set(LINEAGE) <= set(df.columns) and not multiline:
+            df = read.option("multiLine", True).schema(df.schema).csv(path)
     elif fmt == "json":
-        read = spark.read.schema(", ".join(f"{c} string" for c in columns)).json(path)
+        fields = ", ".join(f"{c} string" for c in columns)
+        extra = ", ".join(f"{c} {t}" for c, t in LINEAGE.items())
+        df = spark.read.schema(f"{fields}, {extra}, {_LINE} string").json(path)
+        parsed = F.from_json(_LINE, fields)
+        df = df.withColumns({c: F.coalesce(c, parsed[c]) for c in columns})
     else:
         return spark.read.format(fmt).load(path).select(*columns)
-    # Order of the split in the file, then of the row in the split: the order of the rows in the file.
-    position = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
-    return read.select(*[missing_to_null(F.col(c)).alias(c) for c in columns], position.alias(POSITION))
+    own = F.struct(*_lineage())
+    if set(LINEAGE) <= set(df.columns):
+        landed = F.struct(*[F.col(c).cast(t).alias(c) for c, t in LINEAGE.items()])
+        own = F.when(F.col("_source_file").isNotNull(), landed).otherwise(own)
+    return df.select(*[missing_to_null(F.col(c)).alias(c) for c in columns], own.alias(POSITION))
 
 
 def read_bronze(spark, bronze, table, fmt="csv", on=None):

@@ -1,4 +1,5 @@
 import datetime
+import json
 import warnings
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.errors import PySparkException
 
 from tallylake.operators.dedup import first_per_key, split_null_keys
 from tallylake.plans import silver
+from tallylake.schemas import RAW
 from tallylake.sources.bronze import land, list_files, read_bronze, read_raw
 from tests.frames import rows, ts
 
@@ -186,3 +188,38 @@ def test_null_keys_are_quarantined(spark):
     df = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
     good, bad = split_null_keys(df, ["k"])
     assert rows(good, "k", "v") == [("a", 1)] and rows(bad, "k", "v") == [(None, 2)]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+@pytest.mark.parametrize("multiline", [False, True])
+def test_order_of_parts_survives_landing(spark, tmp_path, fmt, multiline):
+    """Parts of 1 and 2,001 rows: the key's first row stands in the first part, its other versions in the second."""
+    folder = tmp_path / "raw" / f"customers_raw.{fmt}"
+    folder.mkdir(parents=True)
+    names = list(RAW["customers"])
+    parts = [[("k", "FIRST")], [("k", f"SECOND{i}") for i in range(2000)] + [("other", "x")]]
+    for n, part in enumerate(parts):
+        found = [dict.fromkeys(names, "") | {"customer_id": k, "customer_city": city} for k, city in part]
+        lines = [json.dumps(r) for r in found] if fmt == "json" else [",".join(names)] + [",".join(r.values()) for r in found]
+        (folder / f"part-{n}.{fmt}").write_text("\n".join(lines) + "\n")
+    land(spark, str(tmp_path / "raw"), str(tmp_path / "bronze"), multiline=multiline)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        unique = silver.clean_customers(read_bronze(spark, str(tmp_path / "bronze"), "customers", fmt))
+        assert rows(unique, "customer_id", "customer_city") == [("k", "FIRST"), ("other", "x")]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_quoted_line_breaks_stay_in_their_row(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "customers_raw.csv").write_text(
+        "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+        'c1,u1,1,"Foz\ndo ""Iguaçu""",PR\nc2,u2,2,Rio,RJ\n'
+    )
+    land(spark, str(folder), str(tmp_path / "bronze"), multiline=True)
+    landed = read_bronze(spark, str(tmp_path / "bronze"), "customers")
+    direct = read_raw(spark, str(folder / "customers_raw.csv"), "customers", multiline=True)
+    for found in (landed, direct):
+        assert rows(found, "customer_id", "customer_city") == [("c1", 'Foz\ndo "Iguaçu"'), ("c2", "Rio")]
