@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +15,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import sample_oracles  # noqa: E402
 from tallylake.operators.shared_tables import new_path  # noqa: E402
-from tallylake.plans import analytics, cube, gold, quality, rfm, silver  # noqa: E402
+from tallylake.plans import analytics, cube, gold, lakehouse, quality, rejects, rfm, silver  # noqa: E402
 from tallylake.schemas import KEYS  # noqa: E402
 from tallylake.sources import sample_tables as sample  # noqa: E402
-from tallylake.sources.bronze import land, read_bronze  # noqa: E402
-from tallylake.sources.tables import audit_counts, register_views, run_sql  # noqa: E402
+from tallylake.sources.bronze import land, newest_versions, read_bronze  # noqa: E402
+from tallylake.sources.tables import (  # noqa: E402
+    audit_counts, create_gold_tables, read_json_report, register_views, run_sql, write_json_report, write_table,
+)
 from tallylake.streaming import landing  # noqa: E402
 
 try:  # the training-text operators and their pipeline can be left out of an installation
@@ -154,16 +158,106 @@ def _star_sql(t):
     return result
 
 
-def _stream(t):
-    """Revenue by window of the events that have arrived; windows still open at the end are not reported yet."""
+def _events(t):
     path = f"{t.sf_dir}/events.parquet"
     table = t.spark.read.parquet(path)
     reader = t.spark.readStream.schema(table.schema)
     if any(f.rstrip("/").endswith("/events.parquet") for f in table.inputFiles()):  # one file, not a folder of parts
-        events = reader.option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
-    else:
-        events = reader.parquet(path)
-    return landing.read_available(landing.windowed_revenue(events), "stream-revenue")
+        return reader.option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    return reader.parquet(path)
+
+
+def _stream(t):
+    """Revenue by window of the events that have arrived; windows still open at the end are not reported yet."""
+    return landing.read_available(landing.windowed_revenue(_events(t)), "stream-revenue")
+
+
+def _sessions(t):
+    """User sessions that no event can extend any more, through an idempotent upsert per micro-batch."""
+    path = new_path(t.spark, "sessions")
+    return landing.upsert_available(landing.session_revenue(_events(t)), path, new_path(t.spark, "sessions-progress"))
+
+
+def _newest(t):
+    """Orders landed on two dates, the second with corrections of some and without most others."""
+    first = t.raw("orders", as_text=True)
+    key = F.col("order_id").cast("int")
+    second = first.where(key % 10 == 3).withColumn("order_status", F.lit("shipped"))
+    bronze = new_path(t.spark, "bronze")
+    for day, rows in ((1, first), (2, second)):
+        source = new_path(t.spark, "raw-files")
+        rows.write.option("header", True).csv(f"{source}/orders_raw.csv")
+        land(t.spark, source, bronze, datetime.date(2026, 1, day))
+    return newest_versions(t.spark, bronze, "orders", KEYS["orders"]).select("order_id", "customer_id", "order_status")
+
+
+_RAW_TABLES = ["customers", "products", "orders", "order_items", "order_payments"]
+
+
+def _text(t, table):
+    return sample.raw_text(t.spark, t.sf_dir, table)
+
+
+def _rejects(t):
+    return rejects.all_rejects({table: _text(t, table) for table in _RAW_TABLES}).drop("place")
+
+
+def _document(t):
+    """The quality report as a JSON document, written, read back against its schema, and laid out by line."""
+    path = new_path(t.spark, "quality-document")
+    write_json_report(quality.report_document(quality.quality_report(t.orders, t.payments)), path)
+    return quality.document_lines(read_json_report(t.spark, path, quality.document_schema()))
+
+
+def _new_database(t):
+    name = f"lake_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(t.spark, name)}'")
+    return name
+
+
+def _bucketed_fact(t):
+    tables = lakehouse.store_order_tables(
+        t.orders, t.items, t.payments, _new_database(t), new_path(t.spark, "silver-bucketed"), 8
+    )
+    return gold.fact_orders(*tables.values(), t.dim_customers, t.dim_products)
+
+
+# Quarters are known to the calendar only: the fact's partitions are pruned by the join, while the statement runs.
+EXTERNAL_SQL = """
+SELECT f.order_year, f.order_month, COUNT(*) AS lines, CAST(SUM(f.price) AS DOUBLE) AS price
+FROM {0}.fact_orders f JOIN (
+    SELECT DISTINCT year, month FROM {0}.dim_date WHERE quarter = 2 AND day_of_week = 'Sunday'
+) d ON f.order_year = d.year AND f.order_month = d.month
+GROUP BY f.order_year, f.order_month
+"""
+
+
+def _external(t):
+    """Gold tables written by partition, declared as external tables, their partitions repaired, then asked in SQL."""
+    path, database = new_path(t.spark, "gold"), _new_database(t)
+    write_table(t.fact, f"{path}/fact_orders", ["order_year", "order_month"])
+    write_table(t.dim_date, f"{path}/dim_date")
+    create_gold_tables(t.spark, path, database, ["fact_orders", "dim_date"])
+    return t.spark.sql(EXTERNAL_SQL.format(database))
+
+
+def _sql_errors(t):
+    """What ad-hoc statements over a view come back with: rows, or the condition of an error, also one of a row."""
+    t.orders.createOrReplaceTempView("checked_orders")
+    statements = {
+        "counts": "SELECT order_status, COUNT(*) FROM checked_orders GROUP BY order_status ORDER BY 2",
+        "division": "SELECT 1 / (order_year - order_year) FROM checked_orders",
+        "cast": "SELECT CAST(order_status AS INT) FROM checked_orders",
+        "column": "SELECT nothing FROM checked_orders",
+        "table": "SELECT * FROM no_such_table",
+        "syntax": "SELEC order_id FROM checked_orders",
+    }
+    found = []
+    for name, text in statements.items():
+        result, error = run_sql(t.spark, text)
+        condition = error and error.split(":")[0].split(".")[0]
+        found.append((name, 0 if error else result.count(), condition))
+    return t.spark.createDataFrame(found, "statement string, row_count long, condition string")
 
 
 def _landed(t, table, fmt, changed):
@@ -185,6 +279,19 @@ _QUERIES = {
     "silver_customers": lambda t: t.customers,
     "silver_products": lambda t: t.products,
     "silver_orders": lambda t: silver.clean_orders(t.raw("orders", as_text=True)),
+    "silver_orders_whole_days": lambda t: silver.clean_orders(t.raw("orders"), whole_days=True).select(
+        "order_id", F.col("actual_delivery_days").cast("double"), F.col("estimated_delivery_days").cast("double"),
+        "is_delayed",
+    ),
+    "silver_customers_from_text": lambda t: silver.clean_customers(_text(t, "customers")),
+    "silver_products_from_text": lambda t: silver.clean_products(_text(t, "products")).withColumn(
+        "product_weight_g", F.col("product_weight_g").cast("double")
+    ),
+    "silver_orders_from_text": lambda t: silver.clean_orders(_text(t, "orders")),
+    "silver_order_items_from_text": lambda t: silver.clean_order_items(_text(t, "order_items")),
+    "silver_payments_from_text": lambda t: silver.clean_payments(_text(t, "order_payments")),
+    "rejected_values": _rejects,
+    "bronze_newest_version": _newest,
     "silver_order_items": lambda t: t.items,
     "silver_payments": lambda t: t.payments,
     "table_audit": _audit,
@@ -195,6 +302,9 @@ _QUERIES = {
     "fact_orders_denormalised": lambda t: gold.fact_orders_denormalised(
         t.orders, t.items, t.payments, t.customers, t.products
     ),
+    "fact_orders_bucketed": _bucketed_fact,
+    "external_table_sql": _external,
+    "sql_error_texts": _sql_errors,
     "fact_by_calendar": _calendar,
     "star_sql_on_views": _star_sql,
     "rfm_base": lambda t: rfm.rfm_base(t.orders, t.customers, t.payments),
@@ -240,9 +350,12 @@ _QUERIES = {
     "delivery_histogram": lambda t: analytics.delivery_histogram(t.totals),
     "cohort_retention": lambda t: analytics.cohort_retention(t.orders, t.customers),
     "quality_report": lambda t: quality.quality_report(t.orders, t.payments),
+    "quality_document": _document,
+    "gate_verdict": lambda t: quality.gate_verdict(quality.quality_report(t.orders, t.payments)),
     "outlier_tagging": lambda t: quality.tag_outliers(t.payments, "payment_value"),
     "drift_report": _drift,
     "stream_dedup_revenue": _stream,
+    "stream_session_revenue": _sessions,
 }
 
 

@@ -337,6 +337,20 @@ _STREAM = """
     HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events)
 """
 
+_SESSIONS = """
+    WITH arrived AS (SELECT DISTINCT event_id, ts, user_id, value FROM events),
+    marked AS (
+        SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE
+                       THEN 0 ELSE 1 END AS opens FROM arrived
+    ), numbered AS (
+        SELECT *, SUM(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS place FROM marked
+    )
+    SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS events,
+           CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+    FROM numbered GROUP BY user_id, place
+    HAVING MAX(ts) + INTERVAL 30 MINUTE <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events)
+"""
+
 _ITEM_COLUMNS = """order_id, order_item_id, product_id, seller_id, shipping_limit_date,
     CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value"""
 _ORDER_COLUMNS = """order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
@@ -351,6 +365,69 @@ _SILVER_QUERIES = {
     "silver_orders": f"SELECT {_ORDER_COLUMNS} FROM clean_orders",
     "bronze_csv_roundtrip": f"SELECT {_ORDER_COLUMNS} FROM clean_orders",
     "bronze_json_roundtrip": "SELECT * FROM customers",
+    "silver_orders_whole_days": """
+        SELECT order_id,
+               CAST(date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_delivered_customer_date AS DATE))
+                    AS DOUBLE) AS actual_delivery_days,
+               CAST(date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_estimated_delivery_date AS DATE))
+                    AS DOUBLE) AS estimated_delivery_days, is_delayed
+        FROM clean_orders""",
+    "silver_customers_from_text": """
+        SELECT customer_id, customer_unique_id, customer_city, customer_state,
+               CASE WHEN CAST(customer_id AS INTEGER) % 11 = 0 THEN 0 ELSE customer_zip_code_prefix END
+                   AS customer_zip_code_prefix FROM customers""",
+    "silver_products_from_text": """
+        SELECT * EXCLUDE (product_weight_g),
+               CASE WHEN CAST(product_id AS INTEGER) % 13 <> 0 THEN CAST(product_weight_g AS DOUBLE) END AS product_weight_g
+        FROM products""",
+    "silver_orders_from_text": f"""
+        SELECT {_ORDER_COLUMNS} FROM (SELECT * REPLACE (
+            CASE WHEN CAST(order_id AS INTEGER) % 17 <> 0 THEN order_approved_at END AS order_approved_at)
+        FROM clean_orders)""",
+    "silver_order_items_from_text": f"""
+        SELECT {_ITEM_COLUMNS} FROM (SELECT * REPLACE (
+            CASE WHEN CAST(order_id AS INTEGER) % 101 <> 0 THEN price END AS price) FROM items)""",
+    "silver_payments_from_text": f"SELECT {_PAYMENT_COLUMNS} FROM payments WHERE CAST(order_id AS INTEGER) % 89 <> 0",
+    "rejected_values": """
+        SELECT 'customers' AS table_name, '{"customer_id":"' || customer_id || '"}' AS key,
+               'customer_zip_code_prefix' AS column_name, 'unknown' AS raw_text, 'no int' AS reason
+        FROM (SELECT * FROM raw_customers UNION ALL SELECT * FROM raw_customers WHERE copied)
+        WHERE CAST(customer_id AS INTEGER) % 11 = 0
+        UNION ALL SELECT 'products', '{"product_id":"' || product_id || '"}', 'product_weight_g', 'heavy', 'no int'
+        FROM products WHERE CAST(product_id AS INTEGER) % 13 = 0
+        UNION ALL SELECT 'orders', '{"order_id":"' || order_id || '"}', 'order_approved_at', 'soon', 'no timestamp_ntz'
+        FROM (SELECT * FROM raw_orders UNION ALL SELECT * FROM raw_orders WHERE copied)
+        WHERE CAST(order_id AS INTEGER) % 17 = 0
+        UNION ALL SELECT 'order_items', '{"order_id":"' || order_id || '","order_item_id":"' || order_item_id || '"}',
+               'price', 'free', 'no decimal(18,2)'
+        FROM raw_items WHERE CAST(order_id AS INTEGER) % 101 = 0
+        UNION ALL SELECT 'order_payments', '{"order_id":"' || order_id || '","payment_sequential":"1"}',
+               'payment_value', CASE WHEN CAST(order_id AS INTEGER) % 89 = 0 THEN 'abc' ELSE '-50.00' END,
+               CASE WHEN CAST(order_id AS INTEGER) % 89 = 0 THEN 'no decimal(18,2)' ELSE 'negative' END
+        FROM raw_payments WHERE CAST(order_id AS INTEGER) % 89 = 0 OR payment_value < 0""",
+    "bronze_newest_version": """
+        SELECT order_id, customer_id,
+               CASE WHEN CAST(order_id AS INTEGER) % 10 = 3 THEN 'shipped' ELSE order_status END AS order_status
+        FROM clean_orders""",
+    "sql_error_texts": """
+        SELECT 'counts' AS statement, (SELECT COUNT(DISTINCT order_status) FROM clean_orders) AS row_count,
+               CAST(NULL AS VARCHAR) AS condition
+        UNION ALL SELECT 'division', 0, 'DIVIDE_BY_ZERO' UNION ALL SELECT 'cast', 0, 'CAST_INVALID_INPUT'
+        UNION ALL SELECT 'column', 0, 'UNRESOLVED_COLUMN' UNION ALL SELECT 'table', 0, 'TABLE_OR_VIEW_NOT_FOUND'
+        UNION ALL SELECT 'syntax', 0, 'PARSE_SYNTAX_ERROR'""",
+    "quality_document": _QUALITY.replace("SELECT 'Primary Key", ", report AS (SELECT 'Primary Key", 1) + """)
+        SELECT (SELECT CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END FROM report) AS status, test, metric,
+               CASE WHEN metric = 'null_rate' THEN printf('%.4f%%', value * 100)
+                    WHEN metric IN ('outlier_percentage', 'delayed_orders_rate') THEN printf('%.2f%%', value * 100)
+                    WHEN metric LIKE '%count' OR metric LIKE '%records' THEN CAST(CAST(value AS BIGINT) AS VARCHAR)
+                    ELSE CAST(value AS VARCHAR) END AS shown, passed
+        FROM report""",
+    "gate_verdict": _QUALITY.replace("SELECT 'Primary Key", ", report AS (SELECT 'Primary Key", 1) + """)
+        , tests AS (SELECT test, bool_and(passed) AS passed FROM report GROUP BY test)
+        SELECT CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END AS status, COUNT(*) AS tests,
+               COUNT(*) FILTER (NOT passed) AS failed,
+               COALESCE(string_agg(test, ', ' ORDER BY test) FILTER (NOT passed), '') AS failed_tests
+        FROM tests""",
     "silver_order_items": f"SELECT {_ITEM_COLUMNS} FROM items",
     "silver_payments": f"SELECT {_PAYMENT_COLUMNS} FROM payments",
     "table_audit": """
@@ -403,6 +480,14 @@ _GOLD_QUERIES = {
                CAST(freight_value AS DOUBLE) AS freight_value, CAST(payment_value AS DOUBLE) AS payment_value,
                payment_allocated, actual_delivery_days, estimated_delivery_days, is_delayed, order_year, order_month
         FROM star""",
+    "fact_orders_bucketed": """
+        SELECT order_id, customer_key, product_key, date_key, order_status, CAST(price AS DOUBLE) AS price,
+               CAST(freight_value AS DOUBLE) AS freight_value, CAST(payment_value AS DOUBLE) AS payment_value,
+               payment_allocated, actual_delivery_days, estimated_delivery_days, is_delayed, order_year, order_month
+        FROM star""",
+    "external_table_sql": """
+        SELECT order_year, order_month, COUNT(*) AS lines, CAST(SUM(price) AS DOUBLE) AS price
+        FROM star WHERE order_month IN (4, 5, 6) GROUP BY order_year, order_month""",
     "fact_orders_denormalised": f"""
         SELECT {_ORDER_COLUMNS}, order_item_id, product_id, seller_id, shipping_limit_date,
                CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value,
@@ -510,4 +595,5 @@ def oracle_sql():
     statements.update({name: f"WITH {_SILVER} {_GOLD} {tail}" for name, tail in _GOLD_QUERIES.items()})
     statements.update({name: f"WITH {_SILVER} {_RFM} {tail}" for name, tail in _RFM_QUERIES.items()})
     statements["stream_dedup_revenue"] = _STREAM
+    statements["stream_session_revenue"] = _SESSIONS
     return statements

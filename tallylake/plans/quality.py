@@ -181,6 +181,35 @@ def report_document(report, timestamp=None):
     )
 
 
+def document_schema():
+    """The schema of a stored report document; percentages are texts."""
+    kinds = {metric: kind for metrics in _SHOWN.values() for metric, kind in metrics.items()}
+    types = {"count": "bigint", "number": "double"}
+    metrics = ", ".join(f"{metric}: {types.get(kind, 'string')}" for metric, kind in kinds.items())
+    return f"timestamp string, status string, tests array<struct<name: string, {metrics}, passed: boolean>>"
+
+
+def document_lines(document):
+    """(status, test, metric, shown, passed) of stored documents: each metric that a test has, as the document shows it."""
+    kinds = {metric for metrics in _SHOWN.values() for metric in metrics}
+    tests = document.select("status", F.explode("tests").alias("t"))
+    shown = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"t.{m}").cast("string").alias("shown")) for m in sorted(kinds)])
+    lines = tests.select("status", F.col("t.name").alias("test"), F.col("t.passed").alias("passed"), F.inline(shown))
+    return lines.where(F.col("shown").isNotNull())
+
+
+def gate_verdict(report):
+    """One row: status, number of tests and of failed ones, and the failed ones' names."""
+    tests = report.groupBy("test").agg(F.bool_and("passed").alias("passed"))
+    failed = F.sort_array(F.collect_list(F.when(~F.col("passed"), F.col("test"))))  # one row per test
+    return tests.agg(
+        F.when(F.bool_and("passed"), "PASSED").otherwise("FAILED").alias("status"),
+        F.count(F.lit(1)).alias("tests"),
+        F.count_if(~F.col("passed")).alias("failed"),
+        F.array_join(failed, ", ").alias("failed_tests"),
+    )
+
+
 def check_gate(report, fail_on_error=False):
     """True when every test passed. With fail_on_error a failure raises instead."""
     failed = [row["test"] for row in report.where(~F.col("passed")).select("test").distinct().collect()]

@@ -30,8 +30,12 @@ def clean_products(raw):
     )
 
 
-def clean_orders(raw, order_by=()):
-    """First row per order_id with parsed timestamps, delivery durations, delay flag and partition columns."""
+def clean_orders(raw, order_by=(), whole_days=False):
+    """First row per order_id with parsed timestamps, delivery durations, delay flag and partition columns.
+
+    Durations are elapsed days with their fraction, or with whole_days the number of calendar days in between.
+    """
+    between = days_between if not whole_days else lambda start, end: F.date_diff(end, start)
     orders = _typed(first_per_key(raw, KEYS["orders"], order_by), "orders").select(*RAW["orders"])
     bought, arrived, promised = (
         F.col(c)
@@ -39,8 +43,8 @@ def clean_orders(raw, order_by=()):
     )
     return orders.withColumns(
         {
-            "actual_delivery_days": days_between(bought, arrived),
-            "estimated_delivery_days": days_between(bought, promised),
+            "actual_delivery_days": between(bought, arrived),
+            "estimated_delivery_days": between(bought, promised),
             "is_delayed": F.when(arrived > promised, 1).otherwise(0),
             "order_year": F.year(bought),
             "order_month": F.month(bought),
@@ -48,10 +52,9 @@ def clean_orders(raw, order_by=()):
     )
 
 
-def clean_order_items(raw, unique=False, order_by=()):
-    """Typed lines. With unique, only the first row per (order_id, order_item_id); without, every row stays."""
-    lines = first_per_key(raw, KEYS["order_items"], order_by) if unique else raw
-    return _typed(lines.drop(POSITION), "order_items").select(*RAW["order_items"])
+def clean_order_items(raw):
+    """Typed lines; every row stays."""
+    return _typed(raw.drop(POSITION), "order_items").select(*RAW["order_items"])
 
 
 def clean_payments(raw):

@@ -116,6 +116,28 @@ def read_raw(spark, path, table, fmt="csv", multiline=False):
     return df.select(*[missing_to_null(F.col(c)).alias(c) for c in columns], own.alias(POSITION))
 
 
+def newest_versions(spark, bronze, table, keys, fmt="csv", since=None):
+    """The newest row per key over all landed dates: a late correction wins, a day without a key loses nothing.
+
+    Within a date the last row of the source counts. since leaves earlier dates unread. Versions merge before the
+    shuffle, so that a frequent key is few rows.
+    """
+    landed = partitions(spark, bronze, table, fmt)
+    if since is not None:
+        landed = landed.where(F.make_date("year", "month", "day") >= F.lit(since))
+    days = sorted((r["year"], r["month"], r["day"], r["folder"]) for r in landed.collect())  # a row per landed date
+    if not days:
+        raise FileNotFoundError(f"no {table}_raw.{fmt} in {bronze} since {since or 'any date'}")
+    whole = None
+    for year, month, day, folder in days:
+        rows = read_raw(spark, f"{folder}/{table}_raw.{fmt}", table, fmt)
+        rows = rows.withColumn("_landed", F.lit(datetime.date(year, month, day)))
+        whole = rows if whole is None else whole.unionByName(rows)
+    rest = [c for c in RAW[table] if c not in keys]
+    newest = whole.groupBy(*keys).agg(F.max(F.struct("_landed", POSITION, *rest)).alias("_row"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in RAW[table]])
+
+
 def read_bronze(spark, bronze, table, fmt="csv", on=None):
     """Read one landed table: the partition of a date, or the latest one when no date is given."""
     landed = partitions(spark, bronze, table, fmt)

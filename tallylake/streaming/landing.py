@@ -15,8 +15,8 @@ def _to_event_time(column):
 
 
 def _from_event_time(column):
-    seconds = F.unix_seconds(column)
-    return F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    seconds = (F.unix_micros(column).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.expr(_EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def stream_raw(spark, folder, table, fmt="csv"):
@@ -58,6 +58,45 @@ def windowed_revenue(events, window="1 hour", delay="1 hour", copies_over=16):
     )
 
 
+def session_revenue(events, gap="30 minutes", delay="1 hour", copies_over=16):
+    """Events and value per user session, repeats of an event_id dropped. Emits sessions that no late event can extend.
+
+    A session ends when a user has been silent for the gap; late events within the delay open, extend or join sessions.
+    """
+    timed = events.select(
+        "event_id", "user_id", F.col("value").cast("decimal(18,2)").alias("value"),
+        _to_event_time(F.col("ts")).alias("event_time"),
+    )
+    return (
+        dedup_stream(timed, ["event_id"], "event_time", delay, copies_over)
+        .groupBy("user_id", F.session_window("event_time", gap).alias("session"))
+        .agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("revenue"))
+        .select(
+            "user_id",
+            _from_event_time(F.col("session.start")).alias("session_start"),
+            _from_event_time(F.col("session.end")).alias("session_end"),
+            "events",
+            F.col("revenue").cast("double").alias("revenue"),
+        )
+    )
+
+
+def upsert_available(stream, path, checkpoint):
+    """Process everything that has arrived into a table with a folder per micro-batch, and stop.
+
+    A batch that runs again after a failure has the number it had and overwrites its own folder: its rows are there once.
+    """
+    def write(batch, number):
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/batch=*")
+
+
 def run_available(stream, path, checkpoint):
     """Process everything that has arrived, append the closed results to a parquet table and stop."""
     query = (
