@@ -219,7 +219,7 @@ def _bucketed_fact(t):
     tables = lakehouse.store_order_tables(
         t.orders, t.items, t.payments, _new_database(t), new_path(t.spark, "silver-bucketed"), 8
     )
-    return gold.fact_orders(*tables.values(), t.dim_customers, t.dim_products)
+    return gold.fact_orders(*tables.values(), t.dim_customers, t.dim_products, bucketed=True)
 
 
 # Quarters are known to the calendar only: the fact's partitions are pruned by the join, while the statement runs.

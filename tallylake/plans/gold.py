@@ -86,18 +86,25 @@ def totals_from_fact(fact):
     )
 
 
-def order_lines(orders, items, payments, allocate=False):
+def _meet(lines, order_side):
+    """Lines with their order's columns, joined on a key of its own (see order_lines)."""
+    key = F.concat(F.lit("="), "order_id").alias("_order")
+    return lines.select("*", key).join(order_side.select("*", key).drop("order_id"), "_order").drop("_order")
+
+
+def order_lines(orders, items, payments, allocate=False, bucketed=False):
     """Order lines with their order's columns and payment_value: the order's payment, else the line's goods value.
 
     The payment repeats on each line. With allocate, payment_allocated spreads it over the lines by goods value, so
-    that it adds up to what was paid. All joins are on order_id: tables bucketed by it meet without an exchange, and a
-    hot order is split by adaptive execution.
+    that it adds up to what was paid. Tables bucketed by order_id meet without an exchange when bucketed is set.
+    Otherwise both sides of the lines' join have an exchange of their own, on a key of their own: only then does
+    adaptive execution split an order that holds a large share of the lines.
     """
     order_side = orders.join(payment_totals(payments), "order_id", "left")
     if allocate:
         totals = line_totals(items).select("order_id", "line_count", "goods_value")
         order_side = order_side.join(totals, "order_id")
-    lines = items.join(order_side, "order_id")
+    lines = items.join(order_side, "order_id") if bucketed else _meet(items, order_side)
     paid = F.col("order_payment")
     lines = lines.withColumn("payment_value", F.coalesce(paid, _goods()).cast(MONEY))
     if allocate:
@@ -107,15 +114,17 @@ def order_lines(orders, items, payments, allocate=False):
     return lines.drop("order_payment")
 
 
-def fact_orders(orders, items, payments, customers, products):
+def fact_orders(orders, items, payments, customers, products, bucketed=False):
     """The order-line fact with surrogate keys from dim_customers and dim_products.
 
     The customer key is looked up once per order, the product key once per line after the lines met their orders.
     """
-    chosen = orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp",
-                           "actual_delivery_days", "estimated_delivery_days", "is_delayed", "order_year", "order_month")
-    keyed_orders = chosen.join(customers.select("customer_id", "customer_key"), "customer_id", "left")
-    lines = order_lines(keyed_orders, items.select("order_id", "product_id", "price", "freight_value"), payments, True)
+    keyed_orders = orders.select(
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp", "actual_delivery_days",
+        "estimated_delivery_days", "is_delayed", "order_year", "order_month",
+    ).join(customers.select("customer_id", "customer_key"), "customer_id", "left")
+    chosen = items.select("order_id", "product_id", "price", "freight_value")
+    lines = order_lines(keyed_orders, chosen, payments, True, bucketed)
     lines = lines.join(products.select("product_id", "product_key"), "product_id", "left")
     return lines.withColumn("date_key", date_key(F.col("order_purchase_timestamp"))).select(*GOLD["fact_orders"])
 
@@ -126,4 +135,4 @@ def fact_orders_denormalised(orders, items, payments, customers, products):
     categories = products.select("product_id", "product_category_name")
     totals = payment_totals(payments).withColumnRenamed("order_payment", "total_payment")
     order_side = orders.join(places, "customer_id", "left").join(totals, "order_id", "left")
-    return items.join(order_side, "order_id").join(categories, "product_id", "left")
+    return _meet(items, order_side).join(categories, "product_id", "left")

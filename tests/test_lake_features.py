@@ -34,7 +34,7 @@ def test_bucketed_order_tables_join_without_an_exchange(spark, retail, tmp_path)
         assert "Exchange" not in plan_of(totals)
         keys = ["order_id", "line_count", "line_revenue", "order_revenue"]
         assert rows(totals, *keys) == rows(gold.order_totals(retail.orders, retail.items, retail.payments), *keys)
-        lines = gold.order_lines(*tables.values(), allocate=True)
+        lines = gold.order_lines(*tables.values(), allocate=True, bucketed=True)
         assert "Exchange" not in plan_of(lines)
         assert lines.count() == retail.items.join(retail.orders, "order_id").count()
     finally:
