@@ -15,9 +15,11 @@ def without(df, names):
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
 
 
-def add_columns(df, make, fields, needs=("text",)):
+def add_columns(df, make, fields, needs=("text",), arrays=False):
     """df with new columns. make() is called once per task and returns f(columns of needs as lists) -> lists.
 
+    With arrays, f takes and gives Arrow arrays. What f may have as f.close() is called when the task ends.
+
     Columns of df that bear a new name are replaced, all others pass unread. Rows reach f in steps of about STEP_SIZE,
     so memory is bounded by an Arrow batch and not by what f builds from it.
     """
@@ -35,13 +37,17 @@ def add_columns(df, make, fields, needs=("text",)):
 
         arrow = to_arrow_schema(schema)
         compute = make()
-        for batch in batches:
-            for start, size in steps(batch.column("_in0")):
-                part = batch.slice(start, size)
-                new = compute(*[part.column(c).to_pylist() for c in inputs])
-                arrays = [part.column(i).cast(arrow.field(i).type) for i in range(len(kept))]
-                arrays += [pa.array(v, type=arrow.field(n).type) for n, v in zip(names, new, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        try:
+            for batch in batches:
+                for start, size in steps(batch.column("_in0")):
+                    part = batch.slice(start, size)
+                    new = compute(*[part.column(c) if arrays else part.column(c).to_pylist() for c in inputs])
+                    columns = [part.column(i).cast(arrow.field(i).type) for i in range(len(kept))]
+                    for n, v in zip(names, new, strict=True):
+                        columns.append(v.cast(arrow.field(n).type) if arrays else pa.array(v, type=arrow.field(n).type))
+                    yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        finally:
+            getattr(compute, "close", lambda: None)()
 
     return base.mapInArrow(run, schema)
 

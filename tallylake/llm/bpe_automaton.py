@@ -1,9 +1,11 @@
 """BPE encoding by a tokenization automaton built from the merges, and decoding by its arc labels."""
 
+from array import array
 from bisect import bisect_right
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import types as T
 
 from tallylake.llm import byte_bpe
@@ -45,9 +47,18 @@ class Automaton:
         self.target = [number[s] for s in target]
         self.size, self.n_states = size, len(parent)
         self.known = {}
-        self.longest = {}
+        self.sizes = self._sizes()
+
+    def _sizes(self):
+        """Lengths of the tokens that a place may begin with, longest first, by its next four bytes or fewer."""
+        found = {}
         for token in self.ids:
-            self.longest[token[:2]] = max(self.longest.get(token[:2], 1), len(token))
+            for n in range(1, min(len(token), 4) + 1):
+                found.setdefault(token[:n], set())
+            found[token[:4]].add(len(token))
+        for key, sizes in found.items():
+            sizes.update(n for n in range(1, len(key)) if key[:n] in self.ids)
+        return {key: tuple(sorted(sizes, reverse=True)) for key, sizes in found.items()}
 
     def _reads(self, state, token, parent, lost, born, made):
         """Whether a state of the unfinished automaton has an arc for a token."""
@@ -97,13 +108,15 @@ class Automaton:
         Longest arcs are tried first. Each prefix has one path only, so a place from which the end can't be reached is
         left for good, and the work is bounded by length times the longest token.
         """
-        ids, longest, known, target = self.ids, self.longest, self.known, self.target
+        ids, sizes, known, target = self.ids, self.sizes, self.known, self.target
         n, at, state, most, path, out, dead = len(word), 0, 0, len(word), [], [], None
         while at < n:
-            size = longest.get(word[at : at + 2], 1)
-            if size > most:
-                size = most
-            while size:
+            head = word[at : at + 4]
+            while head not in sizes:
+                head = head[:-1]
+            for size in sizes[head]:
+                if size > most:
+                    continue
                 token = ids.get(word[at : at + size])
                 if token is not None and (dead is None or at + size not in dead):
                     key = state * self.size + token
@@ -112,7 +125,8 @@ class Automaton:
                         reads = known[key] = self.reads(state, token)
                     if reads:
                         break
-                size -= 1
+            else:
+                size = 0
             if size:
                 path.append((at, state, size))
                 out.append(token)
@@ -133,35 +147,25 @@ def automaton(path):
     return Automaton(byte_bpe.load(path))
 
 
-@lru_cache(maxsize=2)
-def _encoder(path):
-    bpe, machine = byte_bpe.load(path), automaton(path)
-
-    def solve(words):
-        if len(machine.known) > 500_000:
-            machine.known.clear()
-        return [machine.encode(w.encode()) for w in words]
-
-    cache = byte_bpe.PieceCache(solve, lambda ids: tuple(chain.from_iterable(ids)), 150_000, 3_000_000)
-
-    def encode(texts):
-        cut = [bpe.segments(t or "") for t in texts]
-        cut = [[byte_bpe.pieces(s) if i % 2 == 0 else bpe.specials[s] for i, s in enumerate(ss)] for ss in cut]
-        cache.learn([p for segments in cut for p in segments[::2]])
-        bare, spaced = cache.bare, cache.spaced.__getitem__
-        out = []
-        for segments in cut:
-            ids = []
-            for i, p in enumerate(segments):
-                if i % 2:
-                    ids.append(p)
-                else:
-                    ids.extend(bare[p[0]])
-                    ids.extend(chain.from_iterable(map(spaced, p[1])))
-            out.append(ids)
-        return out
-
-    return encode
+class _Encoder:
+    """Ids of Arrow arrays of texts; forgets what it has learned when its task ends."""
+
+    def __init__(self, path):
+        self.machine = automaton(path)
+        self.table = byte_bpe.PieceTable(byte_bpe.load(path), self._solve, np.int32, 400_000, 24_000_000)
+
+    def _solve(self, words):
+        if len(self.machine.known) > 300_000:
+            self.machine.known.clear()
+        return [array("i", self.machine.encode(w.encode())).tobytes() for w in words]
+
+    def __call__(self, texts):
+        ids, ends = self.table.encode(texts)
+        return [pa.LargeListArray.from_arrays(ends, pa.array(ids))]
+
+    def close(self):
+        self.table.clear()
+        self.machine.known.clear()
 
 
 def encode(docs, path, text="text", ids="token_ids"):
@@ -171,11 +175,8 @@ def encode(docs, path, text="text", ids="token_ids"):
     id. Null and empty texts have no ids (an empty array). Equal texts get equal ids; an empty table gives an empty
     table; other columns stay, one that bears the new name is replaced.
     """
-    def make():
-        run = _encoder(path)
-        return lambda texts: [run(texts)]
-
-    return add_columns(docs, make, [T.StructField(ids, T.ArrayType(T.IntegerType(), False))], (text,))
+    field = T.StructField(ids, T.ArrayType(T.IntegerType(), False))
+    return add_columns(docs, lambda: _Encoder(path), [field], (text,), arrays=True)
 
 
 def decode(docs, path, ids="token_ids", text="decoded"):
@@ -184,7 +185,7 @@ def decode(docs, path, ids="token_ids", text="decoded"):
     A null array decodes to an empty text. Ids outside the vocabulary raise IndexError.
     """
     def make():
-        label = byte_bpe.load(path).labels().__getitem__
-        return lambda rows: [[b"".join(map(label, r or ())).decode("utf-8", "replace") for r in rows]]
+        labels = byte_bpe.LabelTable(byte_bpe.load(path).labels())
+        return lambda rows: [labels.decode(rows)]
 
-    return add_columns(docs, make, [T.StructField(text, T.StringType())], (ids,))
+    return add_columns(docs, make, [T.StructField(text, T.StringType())], (ids,), arrays=True)

@@ -65,12 +65,16 @@ class Writer:
         out.write(MAGIC)
 
     def add(self, doc_id, ids):
+        self.add_all([doc_id], ids, np.array([0, len(ids)]))
+
+    def add_all(self, doc_ids, ids, ends):
+        """Several documents whose ids stand end to end, from ends[i] to ends[i + 1]."""
         if len(ids) and int(ids.max()) >> self.bits:
             raise ValueError("an id needs more bits than the vocabulary has")
+        self.docs.extend(d or 0 for d in doc_ids)
+        self.nulls.extend(d is None for d in doc_ids)
+        self.ends.extend((ends[1:] + self.total).tolist())
         self.total += len(ids)
-        self.docs.append(doc_id or 0)
-        self.nulls.append(doc_id is None)
-        self.ends.append(self.total)
         self.waiting.append(ids)
         self.n_waiting += len(ids)
         if self.n_waiting >= 64 * BLOCK:
@@ -123,7 +127,7 @@ class Reader:
 
 @lru_cache(maxsize=2)
 def _library_encoder(path):
-    """Ids of texts by the tokenizers library, which sees every different pre-token once while it is remembered."""
+    """Ids of texts by the tokenizers library, which sees every different word once while it is remembered."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -132,14 +136,13 @@ def _library_encoder(path):
     tokenizer.no_padding()
     bpe = byte_bpe.load(path)
     kind = np.uint16 if bpe.size <= 1 << 16 else np.uint32
-    special = {s: np.array([i], kind).tobytes() for s, i in bpe.specials.items()}
     line_end = bpe.ids[b"\n"]
 
     def ids(text):
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, kind)
 
     def solve(words):
-        """Pre-tokens that are a space and letters go to the library as the lines of one text; others one by one."""
+        """Pre-tokens that are a space and letters go to the library as the lines of one text; others as texts of one batch."""
         lines = [w for w in words if w[0] == " " and w[1:].isalpha()]
         found = ids("\n".join([*lines, ""])) if lines else np.zeros(0, kind)
         ends = np.flatnonzero(found == line_end)
@@ -150,27 +153,11 @@ def _library_encoder(path):
         if len(lines) == len(words):
             return list(known.values())
         rest = [w for w in words if w not in known]
-        known.update((w, ids(w).tobytes()) for w in rest)
+        found = tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        known.update((w, np.array(e.ids, kind).tobytes()) for w, e in zip(rest, found, strict=True))
         return [known[w] for w in words]
 
-    cache = byte_bpe.PieceCache(solve, b"".join)
-
-    def encode(texts):
-        cut = [bpe.segments(t or "") for t in texts]
-        cut = [[byte_bpe.pieces(s) if i % 2 == 0 else special[s] for i, s in enumerate(ss)] for ss in cut]
-        cache.learn([p for segments in cut for p in segments[::2]])
-        bare, spaced = cache.bare, cache.spaced.__getitem__
-        for segments in cut:
-            parts = []
-            for i, p in enumerate(segments):
-                if i % 2:
-                    parts.append(p)
-                else:
-                    parts.append(bare[p[0]])
-                    parts.extend(map(spaced, p[1]))
-            yield np.frombuffer(b"".join(parts), kind)
-
-    return encode
+    return byte_bpe.PieceTable(bpe, solve, kind, 1_000_000, 60_000_000)
 
 
 def write_tokens(docs, path, folder, end_id=0, doc_id="doc_id", text="text"):
@@ -191,7 +178,7 @@ def write_tokens(docs, path, folder, end_id=0, doc_id="doc_id", text="text"):
     def run(batches):
         from pyspark import TaskContext
 
-        encode, bpe = _library_encoder(path), byte_bpe.load(path)
+        table, bpe = _library_encoder(path), byte_bpe.load(path)
         rows = []
 
         def write(out):
@@ -199,8 +186,10 @@ def write_tokens(docs, path, folder, end_id=0, doc_id="doc_id", text="text"):
             for batch in batches:
                 for start, size in steps(batch.column("text")):
                     part = batch.slice(start, size)
-                    for d, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist())):
-                        writer.add(d, np.append(ids.astype(np.uint32), np.uint32(end_id)))
+                    ids, ends = table.encode(part.column("text"))
+                    # The end id after each document's ids.
+                    ids = np.insert(ids.astype(np.uint32), ends[1:], end_id)
+                    writer.add_all(part.column("doc_id").to_pylist(), ids, ends + np.arange(len(ends)))
             writer.close()
             rows.append((len(writer.docs), writer.total))
 

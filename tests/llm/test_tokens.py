@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -11,6 +12,7 @@ from tallylake.llm import bpe_automaton, byte_bpe, storage, token_counts, token_
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
+ENCODER, TABLE = bpe_automaton._Encoder(PATH), token_files._library_encoder(PATH)
 
 
 def ids(text):
@@ -21,9 +23,22 @@ def ids(text):
 @given(st.text(alphabet=" \n\t\r abcdeT'hs1290!?-_|éßжÉ中 　\x1c\x85", max_size=60))
 def test_texts_are_encoded_as_by_the_library(text):
     expected = ids(text)
-    assert bpe_automaton._encoder(PATH)([text]) == [expected]
+    (found,) = ENCODER(pa.array([text, None, text]))
+    assert found.to_pylist() == [expected, [], expected]
+    assert byte_bpe.LabelTable(byte_bpe.load(PATH).labels()).decode(found).to_pylist() == [text, "", text]
     assert token_counts._counter(PATH)([text]) == [len(expected)]
-    assert [x.tolist() for x in token_files._library_encoder(PATH)([text])] == [expected]
+    assert TABLE.encode(pa.array([text]))[0].tolist() == expected
+
+
+def test_a_full_table_keeps_what_comes_up_often():
+    table = byte_bpe.PieceTable(byte_bpe.load(PATH), lambda words: [np.array(ids(w), "i4").tobytes() for w in words], "i4", 40)
+    rng = np.random.default_rng(1)
+    for i in range(30):
+        texts = [" ".join([f"common{j}" for j in range(9)] + [f"rare{x}" for x in rng.integers(0, 10**6, 12)]) for _ in range(3)]
+        found, ends = table.encode(pa.array(texts))
+        assert [found[a:b].tolist() for a, b in zip(ends, ends[1:])] == [ids(t) for t in texts]
+        assert i < 3 or "common5" in table.slot[True]
+    assert table.n_slots < 200
 
 
 def test_automaton_reads_one_path_per_word():
