@@ -15,6 +15,14 @@ def without(df, names):
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
 
 
+def spare_prefix(df):
+    """A prefix that no column's name begins with: names made with it clash with none."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def add_columns(df, make, fields, needs=("text",), arrays=False):
     """df with new columns. make() is called once per task and returns f(columns of needs as lists) -> lists.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallylake.llm import storage
-from tallylake.llm.arrow_columns import add_columns, without
+from tallylake.llm.arrow_columns import add_columns, spare_prefix
 
 #: Words in an item window, and in the shingles that make it up.
 WINDOW, SHINGLE = 10, 3
@@ -123,7 +123,7 @@ def _count_shingles(docs, block, text):
     return {tuple(bytes(r.shingle).split(b" ")): r.n for r in rows}
 
 
-def contamination(docs, benchmark, item_id="item_id", text="text", block_words=BLOCK_WORDS):
+def contamination(docs, benchmark, item_id="item_id", text="text", block_words=BLOCK_WORDS, benchmark_text="text"):
     """docs with n_words, hit_spans (maximal runs of hit words, [start, end) in words), n_hit (words in them), item_ids
     (sorted strings: items of which a window occurs) and contaminated (n_hit > 0).
 
@@ -137,12 +137,10 @@ def contamination(docs, benchmark, item_id="item_id", text="text", block_words=B
     benchmark's size. Further blocks work on the stored result of those before.
     """
     fields = T.StructType.fromDDL("n_words long, hit_spans array<array<int>>, item_ids array<string>")
-    spans, items = "_spans_so_far", "_items_so_far"
+    spans, items = [spare_prefix(docs) + name for name in ("spans_so_far", "items_so_far")]
     marked = None
-    for n, rows in _blocks(benchmark, item_id, text, block_words):
+    for _, rows in _blocks(benchmark, item_id, benchmark_text, block_words):
         block = Block(rows)
-        if n > 1 and marked is None:
-            docs = docs.select(*without(docs, [spans, items]))
         block.choose(_count_shingles(docs, block, text))
         shared = docs.sparkSession.sparkContext.broadcast(block)
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallylake.llm import storage
-from tallylake.llm.arrow_columns import add_columns, steps
+from tallylake.llm.arrow_columns import add_columns, spare_prefix, steps
 from tallylake.llm.components import connected_components
 
 SHINGLE = 5
@@ -520,15 +520,17 @@ def least_of_classes(docs, doc_id="doc_id", text="text"):
     without shingles. Of rows equal in both, any one. Ids needn't be unique: only a row's own class decides."""
     found = near_duplicate_classes(docs, doc_id, text).where("class is not null")
     # As a struct, the id of a class can be null and is still the least there is.
-    found = found.withColumn("_id", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id"))
-    found = storage.stored(found.select("_id", "text_key", F.col("class").alias("_class")), "near-duplicates")
-    least = found.groupBy("_class").agg(F.min("_id").alias("_id"))
-    chosen = found.join(least, ["_class", "_id"]).select(
-        F.col("_id.doc_id").alias("_id"), F.col("text_key").alias("_key"), "_class"
+    found = found.withColumn("id", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id"))
+    found = storage.stored(found.select("id", "text_key", "class"), "near-duplicates")
+    least = found.groupBy("class").agg(F.min("id").alias("id"))
+    prefix = spare_prefix(docs)
+    own_id, own_key, own_class, own_row = [prefix + name for name in ("id", "key", "class", "row")]
+    chosen = found.join(least, ["class", "id"]).select(
+        F.col("id.doc_id").alias(own_id), F.col("text_key").alias(own_key), F.col("class").alias(own_class)
     ).distinct()
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (text_key(F.col(f"`{text}`")) == F.col("_key"))
-    rows = docs.join(chosen, same).groupBy("_class").agg(F.min_by(F.struct(*columns), F.col(f"`{text}`")).alias("_row"))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(own_id)) & (text_key(F.col(f"`{text}`")) == F.col(own_key))
+    rows = docs.join(chosen, same).groupBy(own_class).agg(F.min_by(F.struct(*columns), F.col(f"`{text}`")).alias(own_row))
     # Not in the join: whatever has no word is in no class.
     bare = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), " \t\n\x0b\f\r", "") == ""
-    return rows.select("_row.*").union(docs.where(bare).select(*columns))
+    return rows.select(f"{own_row}.*").union(docs.where(bare).select(*columns))

@@ -1,13 +1,17 @@
 """A quality classifier without labels: heuristic labellers, their accuracies by EM, and a hashed linear scorer.
 
-Each labeller votes good (1), bad (-1) or abstains (0). Votes are conditionally independent given the class, and
-abstaining says nothing; EM finds the share of good documents and each labeller's rate of bad votes in both classes
-from the counts of vote patterns.
+Each labeller votes good (+), bad (-) or abstains (0). Votes are independent given the kind of document, and
+abstaining says nothing. The labellers overlap: every fault they look for is seen by two of them at least, and that two
+agree is what tells a fault from a labeller's error. So bad documents are of several kinds, one for each pair of labellers
+that agree beyond chance; EM finds the shares of the good documents and of the kinds, and each labeller's rate of bad
+votes in each, from the counts of vote patterns.
 The posterior of each pattern is the soft label of its documents. A logistic model over hashed word shapes and binned
 measures learns these labels on a bounded sample and scores all documents.
 """
 
+import re
 from collections import Counter
+from dataclasses import dataclass, field
 
 import numpy as np
 import xxhash
@@ -19,9 +23,12 @@ from tallylake.llm.linear import fit_logistic, sigmoid
 
 #: Documents (about) that the scorer learns from, and its hash buckets.
 SAMPLE, BUCKETS = 8_000, 512
-#: Prior of the label model: labellers call this share of good documents bad; it weighs TRUST times the documents.
-#: Without it EM takes a fault that only one labeller sees for that labeller's error.
-FALSE_ALARM, TRUST = 0.001, 10.0
+#: Weak prior of a labeller's rates, whatever the number of documents: one bad and one good vote in either class.
+PRIOR_VOTES = 1.0
+#: The start of EM is this far from certain.
+DOUBT = 0.02
+#: Two labellers overlap where the correlation of their bad votes is above this.
+OVERLAP = 0.1
 #: Documents with a lower probability of being good are rejected.
 THRESHOLD = 0.5
 
@@ -42,10 +49,17 @@ LABELLERS = (
     ("bare_marks", None, 0.20, 0.0, 0.02, 5),
     ("sentence", None, 80.0, 2.0, 40.0, 40),
     ("words", 1, None, 20, None, 0),
+    ("symbol_runs", None, 0.20, 0.0, 0.05, 5),
+    ("echoes", None, 0.20, 0.0, 0.06, 5),
 )
+#: Bins of each measure among the features; the hashed shapes of words come after them.
+BINS = 16
+_SYMBOL_RUN = re.compile(rb"([!-/:-@\[-`{-~])\1\1")
 
 
 class _Shapes(dict):
+    """word -> bucket of its shape: runs of one kind of character count as two, the first 12 characters of that count."""
+
     def __missing__(self, word):
         if len(self) > 200_000:
             self.clear()
@@ -53,7 +67,7 @@ class _Shapes(dict):
         for b in shape:
             if len(out) < 2 or out[-1] != b or out[-2] != b:
                 out.append(b)
-        value = self[word] = xxhash.xxh32_intdigest(bytes(out[:12])) % (BUCKETS - 128) + 128
+        value = self[word] = xxhash.xxh32_intdigest(bytes(out[:12])) % (BUCKETS - BINS * len(LABELLERS)) + BINS * len(LABELLERS)
         return value
 
 
@@ -76,6 +90,8 @@ def measures(text):
         "bare_marks": sum(marks.values()) / max(1, n),
         "sentence": n / max(1, ends),
         "words": float(n),
+        "symbol_runs": len(_SYMBOL_RUN.findall(raw)) / max(1, n),
+        "echoes": sum(a == b for a, b in zip(words, words[2:])) / max(1, n),
     }
     return found, words
 
@@ -94,33 +110,69 @@ def vote(found):
     return "".join(out)
 
 
-def label_model(patterns, rounds=100):
-    """pattern -> probability of a good document, by EM over (pattern, count) pairs.
+@dataclass
+class LabelModel:
+    """What EM found: the share of good documents, each labeller's rate of bad votes among the good and among all bad
+    documents, the pairs of labellers whose agreement the kinds of bad documents started from (names are their places in
+    LABELLERS), and the probability of a good document for each pattern of votes."""
+
+    share: float = 0.5
+    false_alarms: list = field(default_factory=list)
+    detections: list = field(default_factory=list)
+    pairs: list = field(default_factory=list)
+    posterior: dict = field(default_factory=dict)
+
+    def accuracies(self):
+        """Each labeller's share of right votes, if it voted on every document."""
+        return [self.share * (1 - f) + (1 - self.share) * d for f, d in zip(self.false_alarms, self.detections, strict=True)]
+
+
+def overlapping_pairs(counts, bad, voted):
+    """Each labeller with the one whose bad votes agree best with its own, by their correlation over the documents that
+    both vote on, if that is above OVERLAP."""
+    both = voted.T @ (counts[:, None] * voted)
+    agreed = bad.T @ (counts[:, None] * bad)
+    own = bad.T @ (counts[:, None] * voted)  # bad votes of the first among the documents that both vote on
+    n = np.maximum(both, 1)
+    spread = np.sqrt(own * (n - own) * own.T * (n - own.T))
+    correlation = np.where(spread > 0, (agreed * n - own * own.T) / np.maximum(spread, 1e-9), 0)
+    np.fill_diagonal(correlation, 0)
+    best = correlation.argmax(axis=1)
+    return sorted({(min(i, j), max(i, j)) for i, j in enumerate(best.tolist()) if correlation[i, j] > OVERLAP})
 
-    Starts from the belief that a bad vote of any labeller is nearly always right (they are built to be precise); rates are smoothed by one
-    document each. A pattern of abstentions alone has the share of good documents.
+
+def label_model(patterns, rounds=500):
+    """The LabelModel of (pattern, count) pairs, by EM.
+
+    A kind of bad documents starts as those that both labellers of a pair call bad; what no pair agrees on starts as good.
+    Without a pair there is one kind, which starts as the documents with a bad vote. Rates are smoothed by PRIOR_VOTES
+    votes of either sort, shares by one document. A pattern of abstentions alone has the share of good documents.
     """
     if not patterns:
-        return {}
-    names = sorted(p for p, _ in patterns)
-    counts = np.array([dict(patterns)[p] for p in names], float)
-    code = np.array([["-0+".index(c) for c in p] for p in names])
-    good = np.where((code == 0).any(axis=1), 0.02, 0.98)
-    onehot = np.eye(3)[code][:, :, [0, 2]]
+        return LabelModel()
+    counted = Counter()
+    for pattern, n in patterns:
+        counted[pattern] += n
+    names = sorted(counted)
+    counts = np.array([counted[p] for p in names], float)
+    bad, fine = [np.array([[c == sign for c in p] for p in names], float) for sign in "-+"]
+    pairs = overlapping_pairs(counts, bad, bad + fine)
+    kinds = [bad[:, i] * bad[:, j] for i, j in pairs] or [bad.any(axis=1).astype(float)]
+    belief = np.stack([1 - np.max(kinds, axis=0), *kinds], axis=1)
+    belief = DOUBT + belief / belief.sum(axis=1, keepdims=True)
+    belief /= belief.sum(axis=1, keepdims=True)
     for _ in range(rounds):
-        share = (counts @ good + 1) / (counts.sum() + 2)
-        logs = []
-        for weight, prior, false in ((counts * good, share, 1), (counts * (1 - good), 1 - share, 0)):
-            table = np.einsum("p,plv->lv", weight, onehot) + 1
-            if false:
-                table += TRUST * counts.sum() * np.array([FALSE_ALARM, 1 - FALSE_ALARM])
-            table /= table.sum(axis=1, keepdims=True)
-            logs.append(np.log(prior) + np.einsum("plv,lv->p", onehot, np.log(table)))
-        new = sigmoid(logs[0] - logs[1])
-        if np.abs(new - good).max() < 1e-9:
+        weight = counts[:, None] * belief
+        share = (weight.sum(axis=0) + 1) / (counts.sum() + belief.shape[1])
+        no, yes = weight.T @ bad + PRIOR_VOTES, weight.T @ fine + PRIOR_VOTES
+        rates = no / (no + yes)
+        logs = np.log(share) + bad @ np.log(rates).T + fine @ np.log1p(-rates).T
+        before, belief = belief, np.exp(logs - np.logaddexp.reduce(logs, axis=1, keepdims=True))
+        if np.abs(belief - before).max() < 1e-9:
             break
-        good = new
-    return dict(zip(names, good.tolist(), strict=True))
+    detections = share[1:] @ rates[1:] / share[1:].sum()
+    posterior = dict(zip(names, belief[:, 0].tolist(), strict=True))
+    return LabelModel(float(share[0]), rates[0].tolist(), detections.tolist(), pairs, posterior)
 
 
 def features(found, words, shapes):
@@ -128,20 +180,25 @@ def features(found, words, shapes):
     x = np.zeros(BUCKETS)
     for i, (name, *_) in enumerate(LABELLERS):
         scaled = found[name] if name in ("words", "sentence") else found[name] * 1000
-        x[i * 16 + min(15, int(np.log2(1 + scaled)))] = 1
+        x[i * BINS + min(BINS - 1, int(np.log2(1 + scaled)))] = 1
     if words:
         places = np.fromiter(map(shapes.__getitem__, words), np.int64, len(words))
         x += np.bincount(places, minlength=BUCKETS) / len(words)
     return x
 
 
+def _hashable(docs):
+    """The columns that the engine can hash: all but maps and variants."""
+    return [F.col(f"`{f.name}`") for f in docs.schema if not re.search(r"map<|variant", f.dataType.simpleString())]
+
+
 def fit(docs, text="text", sample=SAMPLE):
-    """Weights of the scorer and the label model, from all documents' votes and a sample's features.
+    """Weights of the scorer and the LabelModel, from all documents' votes and a sample's features.
 
     Vote patterns are counted over all documents; there are at most 3 to the power of the labellers of them. The scorer
     learns from about `sample` documents, chosen by a hash of the row, at most twice as many.
     """
-    plain = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"))
+    plain = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(*_hashable(docs)).alias("h"))
     fields = [T.StructField("votes", T.StringType())]
     voted = add_columns(plain, lambda: lambda texts: [[vote(measures(t)[0]) for t in texts]], fields).drop("text")
     counts = [(r.votes, r["count"]) for r in voted.groupBy("votes").count().collect()]
@@ -161,7 +218,7 @@ def fit(docs, text="text", sample=SAMPLE):
     fields = [T.StructField("votes", T.StringType()), T.StructField("x", T.BinaryType())]
     rows = add_columns(chosen, make, fields).select("h", "votes", "x").orderBy("h").limit(2 * sample).collect()
     x = np.array([np.frombuffer(r.x, "<f4") for r in rows], float).reshape(-1, BUCKETS)
-    return fit_logistic(x, np.array([labels[r.votes] for r in rows]), ridge=0.1), labels
+    return fit_logistic(x, np.array([labels.posterior[r.votes] for r in rows]), ridge=0.1), labels
 
 
 def score(docs, weights, text="text", threshold=THRESHOLD):

@@ -6,7 +6,7 @@ from operator import and_
 
 from pyspark.sql import functions as F
 
-from tallylake.llm.arrow_columns import without
+from tallylake.llm.arrow_columns import spare_prefix, without
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -44,34 +44,28 @@ def _split(text):
     return F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
 
 
-def _repeat_words():
-    """Words that lie in a window of REPEAT_WINDOW words which the text has twice or more.
-
-    Windows are sorted by content, then place; equal neighbours mark each other. The marked places, in order, each cover
-    their window up to the next marked place.
-    """
+def _repeat_windows(words, n):
+    """Windows of REPEAT_WINDOW words, by content, then place: equal ones are neighbours."""
     size = REPEAT_WINDOW
     windows = F.transform(
-        F.sequence(F.lit(0), F.col("_n") - size),
-        lambda i: F.struct(
-            F.xxhash64(*[F.get("_words", i + j) for j in range(size)]).alias("h"), i.alias("i")
-        ),
+        F.sequence(F.lit(0), F.col(n) - size),
+        lambda i: F.struct(F.xxhash64(*[F.get(words, i + j) for j in range(size)]).alias("h"), i.alias("i")),
     )
-    return F.when(F.col("_n") >= size, F.sort_array(windows))
+    return F.when(F.col(n) >= size, F.sort_array(windows))
 
 
-def _marked():
-    w = F.col("_windows")
-    twin = lambda x, k: F.coalesce(F.get(F.col("_windows"), k)["h"] == x["h"], F.lit(False))
-    kept = F.filter(w, lambda x, k: twin(x, k - 1) | twin(x, k + 1))
+def _repeated_places(windows):
+    """Places of the windows that a neighbour equals, in order."""
+    twin = lambda x, k: F.coalesce(F.get(F.col(windows), k)["h"] == x["h"], F.lit(False))
+    kept = F.filter(windows, lambda x, k: twin(x, k - 1) | twin(x, k + 1))
     return F.sort_array(F.transform(kept, lambda x: x["i"]))
 
 
-def _covered():
+def _covered(places):
+    """Words in the windows at some places: each covers its words up to the next window's."""
     size = REPEAT_WINDOW
     ends = F.transform(
-        F.col("_places"),
-        lambda p, k: F.least(F.lit(size), F.coalesce(F.get(F.col("_places"), k + 1) - p, F.lit(size))),
+        places, lambda p, k: F.least(F.lit(size), F.coalesce(F.get(F.col(places), k + 1) - p, F.lit(size)))
     )
     return F.coalesce(F.aggregate(ends, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
 
@@ -83,30 +77,33 @@ def measures(docs, text="text"):
     n_long_words. Ratios: mean_word_length, symbol_pct (of word characters), dup_line_pct, repeat_word_pct,
     stop_word_pct, long_word_pct.
     """
-    body = F.coalesce(F.col("_text"), F.lit(""))
-    spaceless = F.translate(body, SPACES, "")
-    has_word = lambda line: F.translate(line, SPACES, "") != ""
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words",
              "n_long_words", "mean_word_length", "symbol_pct", "dup_line_pct", "repeat_word_pct", "stop_word_pct",
              "long_word_pct"]
-    kept = docs.select(*without(docs, names))
+    kept = without(docs, names)
+    prefix = spare_prefix(docs)
+    own = [prefix + name for name in ("text", "words", "lines", "n", "windows", "places")]
+    given, words, lines, n, windows, places = own
+    body = F.coalesce(F.col(given), F.lit(""))
+    spaceless = F.translate(body, SPACES, "")
+    has_word = lambda line: F.translate(line, SPACES, "") != ""
     pct = lambda part, whole: F.when(whole > 0, 100.0 * part / whole).otherwise(F.lit(0.0))
     c = F.col
     return (
-        kept.withColumn("_text", F.col(f"`{text}`"))
-        .withColumns({"_words": _split(body), "_lines": F.filter(F.split(body, "\n", -1), has_word)})
-        .withColumn("_n", F.size("_words"))
-        .withColumn("_windows", _repeat_words())
-        .withColumn("_places", _marked())
+        docs.select(*kept, F.col(f"`{text}`").alias(given))
+        .withColumns({words: _split(body), lines: F.filter(F.split(body, "\n", -1), has_word)})
+        .withColumn(n, F.size(words))
+        .withColumn(windows, _repeat_windows(words, n))
+        .withColumn(places, _repeated_places(windows))
         .withColumns({
-            "n_words": c("_n").cast("long"),
+            "n_words": c(n).cast("long"),
             "word_chars": F.length(spaceless).cast("long"),
             "n_symbols": (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": _covered(),
-            "n_stop_words": F.size(F.filter("_words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("long"),
-            "n_long_words": F.size(F.filter("_words", lambda w: F.length(w) > 40)).cast("long"),
+            "n_lines": F.size(lines).cast("long"),
+            "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+            "n_repeat_words": _covered(places),
+            "n_stop_words": F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))).cast("long"),
+            "n_long_words": F.size(F.filter(words, lambda w: F.length(w) > 40)).cast("long"),
         })
         .withColumns({
             "mean_word_length": F.when(c("n_words") > 0, c("word_chars") / c("n_words")).otherwise(F.lit(0.0)),
@@ -116,7 +113,7 @@ def measures(docs, text="text"):
             "stop_word_pct": pct(c("n_stop_words"), c("n_words")),
             "long_word_pct": pct(c("n_long_words"), c("n_words")),
         })
-        .drop("_text", "_words", "_lines", "_n", "_windows", "_places")
+        .drop(*own)
     )
 
 
@@ -136,7 +133,8 @@ def judge(docs, rules=RULES, text="text"):
     (not base_failed, and all rules hold).
 
     Evaluated by built-in functions alone, row by row: repeated rows, ties and extra columns change nothing (columns
-    that bear a new name are replaced), an empty table gives an empty table. Null and empty texts fail.
+    that bear a new name are replaced), an empty table gives an empty table. Null and empty texts fail. Very
+    long texts are measured whole.
     """
     measured = measures(docs.select(*without(docs, ["base_failed", "kept"])), text)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))

@@ -76,7 +76,7 @@ def op8_bpe_automaton(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity.toxicity(docs, _table(spark, sf_dir, "labels"))
-    return found.select("doc_id", "p_insult", "p_contempt", "p_toxic", "is_toxic")
+    return found.select("doc_id", *[f"p_kind_{i + 1}" for i in range(toxicity.KINDS)], "p_toxic", "is_toxic")
 
 
 def op10_quality_rules(spark, sf_dir):

@@ -1,12 +1,15 @@
 """Toxicity by a classifier chain over hashed words.
 
-Categories are predicted one after the other: insult, contempt, then toxic as a whole. Each is a logistic model over the
-presence of hashed words; it also sees the probabilities of the categories before it. In training those come from
-models that did not see the document (out of fold), so that later models learn how far to trust them.
+Categories are predicted one after the other, toxic as a whole last. Each is a logistic model over the shares of a text's
+words that fall into hash buckets; it also sees the probabilities of the categories before it. In training those come
+from models that did not see the document (out of fold), so that later models learn how far to trust them.
+
+The labels may name categories. Where they don't, the earlier categories are kinds of toxic documents: clusters by the
+words that tell toxic training documents from others.
 """
 
 import re
-from functools import lru_cache
+from collections import Counter
 from itertools import chain
 
 import numpy as np
@@ -19,46 +22,65 @@ from tallylake.llm.linear import fit_logistic, sigmoid
 
 #: Labelled documents (about) that are learned from, hash buckets, words kept for a model, and folds.
 SAMPLE, BUCKETS, KEPT, FOLDS = 16_000, 1 << 18, 200, 4
+#: Kinds of toxic documents where labels name no categories.
+KINDS = 3
 #: Lengths of the word beginnings that count as features.
 STEMS = (4, 5, 6)
-THRESHOLD = 0.5
-
-# Seed words that tell the categories of toxic training documents apart; prediction doesn't use them.
-SEEDS = {
-    "insult": "idiot moron stupid fool dumb clown loser jerk imbecile".split(),
-    "contempt": "scum trash garbage worthless pathetic disgusting filth vermin vile".split(),
-}
-CHAIN = (*SEEDS, "toxic")
+#: A bucket with this share of a text's words has half its full value; the values are stored in 16 bits.
+HALF_SHARE, FULL = 0.02, 65_535
+RIDGE, THRESHOLD = 0.05, 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-class _Buckets(dict):
-    """word -> hash buckets of the word and of its first letters, which inflected forms share."""
+def buckets_of(word):
+    """Hash buckets of a word and of its first letters, which inflected forms share."""
+    parts = {word, *[word[:n] + "-" for n in STEMS if n <= len(word)]}
+    return tuple({xxhash.xxh32_intdigest(p) % BUCKETS for p in parts})
+
+
+class _Remembered(dict):
+    """word -> find(word), for the last 100,000 words or so."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
 
     def __missing__(self, word):
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
-        parts = {word, *[word[:n] + "-" for n in STEMS if n <= len(word)]}
-        value = self[word] = tuple(xxhash.xxh32_intdigest(p) % BUCKETS for p in parts)
+        value = self[word] = self.find(word)
         return value
 
 
-@lru_cache(maxsize=1)
-def _buckets():
-    return _Buckets()
+def _words(text):
+    return Counter(_WORD.findall(text.lower())) if text else Counter()
+
+
+def _values(shares):
+    return shares / (shares + HALF_SHARE)
 
 
-def word_features(text):
-    """Sorted hash buckets of a text's distinct words and their beginnings."""
-    words = set(_WORD.findall(text.lower())) if text else ()
-    return np.unique(np.fromiter(chain.from_iterable(map(_buckets().__getitem__, words)), np.int32))
+def word_features(text, find):
+    """(sorted hash buckets of a text's words and their beginnings, their values in 16 bits)."""
+    counts = _words(text)
+    found = list(map(find, counts))
+    flat = np.fromiter(chain.from_iterable(found), np.int32)
+    buckets, place = np.unique(flat, return_inverse=True)
+    times = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), list(map(len, found)))
+    shares = np.bincount(place, weights=times, minlength=len(buckets)) / max(1, counts.total())
+    return buckets, np.round(_values(shares) * FULL).astype("<u2")
 
 
-def categories(text, toxic):
-    """0/1 for each link of the chain, of a training document."""
-    words = set(_WORD.findall(text.lower())) if text and toxic else set()
-    return [int(not words.isdisjoint(seeds)) for seeds in SEEDS.values()] + [int(bool(toxic))]
+def dense(rows, buckets):
+    """Values of some buckets (sorted) in rows of (buckets, values in 16 bits)."""
+    x = np.zeros((len(rows), len(buckets)))
+    for i, (places, values) in enumerate(rows):
+        at = np.searchsorted(buckets, places)
+        there = at < len(buckets)
+        there[there] = buckets[at[there]] == places[there]
+        x[i, at[there]] = values[there] / FULL
+    return x
 
 
 class Link:
@@ -66,17 +88,11 @@ class Link:
 
     def __init__(self, rows, earlier, target):
         self.buckets = screen(rows, target)
-        self.weights = fit_logistic(self._dense(rows, earlier), target, ridge=0.3)
+        self.weights = fit_logistic(np.hstack([dense(rows, self.buckets), earlier]), target, ridge=RIDGE)
 
-    def _dense(self, rows, earlier):
-        x = np.zeros((len(rows), len(self.buckets) + earlier.shape[1]))
-        for i, r in enumerate(rows):
-            x[i, np.flatnonzero(np.isin(self.buckets, r, assume_unique=True))] = 1
-        x[:, len(self.buckets):] = earlier
-        return x
-
-    def predict(self, rows, earlier):
-        x = self._dense(rows, earlier)
+    def predict(self, values, earlier):
+        """Probabilities; values(buckets): the texts' values of some buckets."""
+        x = np.hstack([values(self.buckets), earlier])
         return sigmoid(x @ self.weights[:-1] + self.weights[-1])
 
 
@@ -85,9 +101,9 @@ def screen(rows, target):
     n, positive = len(rows), target.sum()
     if not n or positive in (0, n):
         return np.zeros(0, np.int64)
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    flat = np.concatenate([r[0] for r in rows])
     there = np.bincount(flat, minlength=BUCKETS).astype(float)
-    hit = np.bincount(flat, weights=np.repeat(target, [len(r) for r in rows]), minlength=BUCKETS)
+    hit = np.bincount(flat, weights=np.repeat(target, [len(r[0]) for r in rows]), minlength=BUCKETS)
     expected = there * positive / n
     spread = np.maximum(expected * (1 - positive / n) * (1 - there / n), 1e-9)
     chi = np.where(there >= 3, (hit - expected) ** 2 / spread, 0)
@@ -95,36 +111,85 @@ def screen(rows, target):
     return np.sort(best[chi[best] > 20])
 
 
+def kinds(rows, toxic, rounds=20):
+    """0/1 for each of KINDS kinds of toxic documents, by size: clusters by the direction of their values of the buckets
+    that tell them from others. A document without such a bucket is of no kind."""
+    out = np.zeros((len(rows), KINDS))
+    places = np.flatnonzero(toxic)
+    x = dense([rows[i] for i in places], screen(rows, toxic))
+    length = np.linalg.norm(x, axis=1)
+    places, x = places[length > 0], x[length > 0] / length[length > 0, None]
+    if not len(x):
+        return out
+    centres = x[:1]
+    while len(centres) < KINDS:  # the document least like the centres so far
+        centres = np.vstack([centres, x[(x @ centres.T).max(axis=1).argmin()]])
+    for _ in range(rounds):
+        which = (x @ centres.T).argmax(axis=1)
+        sums = np.stack([x[which == k].sum(axis=0) for k in range(KINDS)])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+    order = np.argsort(-np.bincount(which, minlength=KINDS), kind="stable")
+    out[places, np.argsort(order)[which]] = 1
+    return out
+
+
 def fit_chain(rows, targets, folds):
-    """Links for rows (bucket arrays), targets (rows x categories) and each row's fold."""
+    """Links for rows of (buckets, values), targets (rows x categories) and each row's fold."""
     earlier, links = np.zeros((len(rows), 0)), []
     for c in range(targets.shape[1]):
-        links.append(Link(rows, earlier, targets[:, c].astype(float)))
+        target = targets[:, c].astype(float)
+        links.append(Link(rows, earlier, target))
         out = np.zeros(len(rows))
-        for fold in range(FOLDS):
-            test = np.flatnonzero(folds == fold)
-            train = np.flatnonzero(folds != fold)
+        for fold in range(FOLDS) if c + 1 < targets.shape[1] else ():
+            test, train = np.flatnonzero(folds == fold), np.flatnonzero(folds != fold)
             if len(test) and len(train):
-                part = Link([rows[i] for i in train], earlier[train], targets[train, c].astype(float))
-                out[test] = part.predict([rows[i] for i in test], earlier[test])
+                part = Link([rows[i] for i in train], earlier[train], target[train])
+                out[test] = part.predict(lambda b, test=test: dense([rows[i] for i in test], b), earlier[test])
         earlier = np.column_stack([earlier, out])
     return links
 
 
-def predict_chain(links, rows):
-    found = np.zeros((len(rows), 0))
+def predict_chain(links, values, n):
+    """Probabilities of n texts for each category; values(buckets): the texts' values of some buckets."""
+    found = np.zeros((n, 0))
     for link in links:
-        found = np.column_stack([found, link.predict(rows, found)])
+        found = np.column_stack([found, link.predict(values, found)])
     return found
 
 
-def fit(docs, labels, doc_id="doc_id", text="text", label="toxic", sample=SAMPLE):
+class Scorer:
+    """Probabilities of texts by a chain. Only words that fall into a bucket of some link are looked at."""
+
+    def __init__(self, links):
+        self.links = links
+        self.buckets = np.unique(np.concatenate([link.buckets for link in links]))
+        places = dict(zip(self.buckets.tolist(), range(len(self.buckets)), strict=True))
+        self.known = _Remembered(lambda w: tuple(places[b] for b in buckets_of(w) if b in places))
+
+    def __call__(self, texts):
+        x = np.zeros((len(texts), len(self.buckets)))
+        for row, text in zip(x, texts, strict=True):
+            counts = _words(text)
+            for word, n in counts.items():
+                for place in self.known[word]:
+                    row[place] += n
+            row /= max(1, counts.total())
+        x = np.round(_values(x) * FULL) / FULL
+        found = predict_chain(self.links, lambda b: x[:, np.searchsorted(self.buckets, b)], len(texts))
+        return list(found.T.tolist()) if len(texts) else [[] for _ in self.links]
+
+
+def fit(docs, labels, doc_id="doc_id", text="text", label="toxic", categories=(), sample=SAMPLE):
     """The chain, learned from about `sample` labelled documents, chosen by a hash of their id; at most twice as many.
 
-    A document labelled twice is toxic if one label says so. Null ids and labels are left out.
+    categories: label columns that come before `label` in the chain; without any, kinds of toxic documents are found. A
+    document labelled twice has what one label says. Null ids and null `label`s are left out, other null labels say no.
     """
-    marks = labels.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").alias("_label")).dropna()
-    marks = marks.groupBy("_id").agg(F.max("_label").alias("_label")).withColumn("_h", F.xxhash64("_id"))
+    names = [*categories, label]
+    marks = [(F.col(f"`{c}`").cast("double") != 0).alias(f"_label{i}") for i, c in enumerate(names)]
+    marks = labels.select(F.col(f"`{doc_id}`").alias("_id"), *marks).dropna(subset=["_id", f"_label{len(names) - 1}"])
+    marks = marks.groupBy("_id").agg(*[F.max(f"_label{i}").alias(f"_label{i}") for i in range(len(names))])
+    marks = marks.withColumn("_h", F.xxhash64("_id"))
     share = min(1.0, sample / max(1, marks.count()))
     marks = marks.where(F.pmod("_h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy("_h").limit(2 * sample)
     plain = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("text"))
@@ -132,37 +197,40 @@ def fit(docs, labels, doc_id="doc_id", text="text", label="toxic", sample=SAMPLE
     labelled = plain.join(F.broadcast(marks), "_id")
 
     def make():
-        return lambda texts, toxic: [
-            [word_features(t).astype("<i4").tobytes() for t in texts],
-            [categories(t, y) for t, y in zip(texts, toxic, strict=True)],
-        ]
+        known = _Remembered(buckets_of)
 
-    fields = list(T.StructType.fromDDL("x binary, y array<int>"))
-    rows = add_columns(labelled, make, fields, ("text", "_label")).select("_h", "x", "y")
-    rows = rows.orderBy("_h", "x").limit(2 * sample).collect()
-    x = [np.frombuffer(r.x, "<i4") for r in rows]
-    y = np.array([r.y for r in rows], float).reshape(-1, len(CHAIN))
-    return fit_chain(x, y, np.array([r._h % FOLDS for r in rows], int))
+        def run(texts):
+            found = [word_features(t, known.__getitem__) for t in texts]
+            return [b.astype("<i4").tobytes() for b, _ in found], [v.tobytes() for _, v in found]
 
+        return run
 
-def predict(docs, links, text="text", threshold=THRESHOLD):
-    """docs with a probability for each category of the chain (p_insult, p_contempt, p_toxic) and is_toxic."""
-    names = [f"p_{c}" for c in CHAIN]
+    rows = add_columns(labelled, make, list(T.StructType.fromDDL("x binary, v binary")))
+    y = F.array(*[F.coalesce(f"_label{i}", F.lit(False)).cast("int") for i in range(len(names))]).alias("y")
+    rows = rows.select("_h", "x", "v", y).orderBy("_h", "x").limit(2 * sample).collect()
+    x = [(np.frombuffer(r.x, "<i4"), np.frombuffer(r.v, "<u2")) for r in rows]
+    targets = np.array([r.y for r in rows], float).reshape(-1, len(names))
+    if not categories:
+        targets = np.hstack([kinds(x, targets[:, 0]), targets])
+    return fit_chain(x, targets, np.array([r._h % FOLDS for r in rows], int))
 
-    def run(texts):
-        found = predict_chain(links, [word_features(t) for t in texts])
-        return [found[:, i].tolist() for i in range(len(CHAIN))]
 
+def predict(docs, links, text="text", categories=(), threshold=THRESHOLD):
+    """docs with a probability for each category of the chain (p_kind_1 and so on, or p_ and the names of the categories,
+    and p_toxic) and is_toxic."""
+    names = [f"p_{c}" for c in (*(categories or [f"kind_{i + 1}" for i in range(KINDS)]), "toxic")]
     fields = [T.StructField(n, T.DoubleType()) for n in names]
-    scored = add_columns(docs.select(*without(docs, ["is_toxic"])), lambda: run, fields, (text,))
+    scored = add_columns(docs.select(*without(docs, ["is_toxic"])), lambda: Scorer(links), fields, (text,))
     return scored.withColumn("is_toxic", F.col("p_toxic") >= threshold)
 
 
-def toxicity(docs, labels, doc_id="doc_id", text="text", label="toxic"):
-    """docs with p_insult, p_contempt, p_toxic and is_toxic, by a chain learned from labels.
+def toxicity(docs, labels, doc_id="doc_id", text="text", label="toxic", categories=()):
+    """docs with a probability for each category, p_toxic and is_toxic, by a chain learned from labels (see fit, predict).
 
-    Null and empty texts have no words and get the models' base probabilities. Without labels, or with one class only,
-    all probabilities are that of the class (one half without any). Equal texts get equal results; an empty table gives
-    an empty table; columns that bear a new name are replaced, others stay.
+    Null and empty texts have no words and get the models' base probabilities; very long texts are read whole, their
+    words counted. Without labels, or with one class only, all probabilities are that of the class (one half without
+    any). Equal texts get equal results, repeated rows included; an empty table gives an empty table; columns that bear a
+    new name are replaced, others stay.
     """
-    return predict(docs, fit(docs, labels, doc_id, text, label), text)
+    links = fit(docs, labels, doc_id, text, label, categories)
+    return predict(docs, links, text, categories)

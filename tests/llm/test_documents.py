@@ -1,7 +1,9 @@
 import collections
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallylake.llm import (
     components, decontamination, jaccard_join, pitman_yor, quality_model, quality_rules, storage, toxicity, warc,
@@ -91,7 +93,10 @@ def test_quality_rules(spark, odd_docs):
     got = quality_rules.judge(docs).orderBy("doc_id").collect()
     assert (got[0].n_words, got[0].n_symbols, got[0].n_dup_lines, got[0].n_repeat_words) == (18, 1, 1, 10)
     assert got[0].base_failed and [r.kept for r in got[1:]] == [False, False]
-    assert quality_rules.judge(odd_docs).count() == odd_docs.count()
+    clashing = odd_docs.selectExpr("*", "4 AS _words", "5 AS _text", "6 AS _n", "7 AS __places")
+    judged = quality_rules.judge(clashing)
+    assert [c for c in clashing.columns if c not in judged.columns] == [] and judged.count() == odd_docs.count()
+    assert [tuple(r) for r in judged.select("_words", "_text", "_n", "__places").distinct().collect()] == [(4, 5, 6, 7)]
 
 
 def test_a_text_without_stop_words_fails_by_that_rule_alone(spark):
@@ -114,18 +119,63 @@ def test_quality_model_finds_junk(spark):
     assert quality_model.classify(docs.limit(0)).count() == 0
 
 
-def test_toxicity_chain(spark):
+def _patterns(rates, abstains, shares, n, seed):
+    """(patterns of votes, kinds of the documents) of labellers with known rates of bad votes by kind."""
+    rng = np.random.default_rng(seed)
+    kind = rng.choice(len(shares), n, p=shares)
+    bad, silent = rng.random((n, len(abstains))) < np.array(rates)[kind], rng.random((n, len(abstains))) < np.array(abstains)
+    return ["".join("0" if s else "-" if b else "+" for s, b in zip(*row)) for row in zip(silent, bad)], kind
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_label_model_finds_known_accuracies(seed):
+    good, first, second = [.02, .03, .01, .02, .3, .05], [.9, .7, .02, .05, .35, .4], [.05, .03, .8, .85, .3, .4]
+    votes, kind = _patterns([good, first, second], [.1, .2, 0, .3, .1, .1], [.8, .12, .08], 20_000, seed)
+    model = quality_model.label_model(list(collections.Counter(votes).items()))
+    assert {(0, 1), (2, 3)} <= set(model.pairs) and abs(model.share - .8) < .02
+    assert np.abs(np.array(model.false_alarms) - good).max() < .02
+    bad = (.12 * np.array(first) + .08 * np.array(second)) / .2
+    assert np.abs(np.array(model.detections) - bad).max() < .05
+    assert np.abs(np.array(model.accuracies()) - (.8 * (1 - np.array(good)) + .2 * bad)).max() < .02
+    right = np.mean([(model.posterior[v] >= .5) == (k == 0) for v, k in zip(votes, kind)])
+    any_bad_vote = np.mean([("-" not in v) == (k == 0) for v, k in zip(votes, kind)])
+    assert right > .93 > .75 > any_bad_vote  # the fifth labeller's bad votes alone convince nobody
+    halves = [(p, n // 2 + odd * (n % 2)) for p, n in collections.Counter(votes).items() for odd in (0, 1)]
+    assert quality_model.label_model(halves).false_alarms == model.false_alarms
+
+
+def test_label_model_of_few_votes():
+    assert quality_model.label_model([]).posterior == {}
+    silent = quality_model.label_model([("000", 7)])
+    assert silent.posterior["000"] == pytest.approx(silent.share)
+    assert quality_model.label_model([("+++", 90), ("---", 10)]).posterior["---"] < .01
+
+
+@pytest.mark.parametrize("categories", [(), ("insult", "contempt")])
+def test_toxicity_chain(spark, categories):
     rng = random.Random(3)
     words = [f"plain{i}" for i in range(200)]
     texts = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(300)]
-    toxic = [i % 5 == 0 for i in range(300)]
-    texts = [t + (" you idiot, worthless thing" if y else "") for t, y in zip(texts, toxic)]
-    docs = spark.createDataFrame([*enumerate(texts), (900, None)], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(toxic[i])) for i in range(200)] + [(None, 1)], "doc_id long, toxic int")
-    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
-    assert [got[i].is_toxic for i in range(300)] == toxic
-    assert not got[900].is_toxic and got[0].p_insult > 0.5 > got[1].p_insult
-    assert toxicity.toxicity(docs, labels.limit(0)).count() == 301
+    kind = [("", "you blockhead, you blockhead", "loathsome rubbish", "blockhead, loathsome")[max(0, i % 10 - 6)] for i in range(300)]
+    texts = [f"{t} {k}" for t, k in zip(texts, kind)]
+    docs = spark.createDataFrame([*enumerate(texts), (900, None), (901, ""), (5, texts[5])], "doc_id long, text string")
+    docs = docs.withColumns({"IS_TOXIC": F.lit("x"), "_id": F.lit(1), "_label": F.lit(2)})
+    marks = [(i, "blockhead" in k, "loathsome" in k, int(bool(k))) for i, k in enumerate(kind[:200])]
+    labels = spark.createDataFrame(marks + [(None, None, None, 1), (7, None, None, None)],
+                                   "doc_id long, insult boolean, contempt boolean, toxic int")
+    found = toxicity.toxicity(docs, labels, categories=categories)
+    got = {r.doc_id: r for r in found.collect()}
+    assert [got[i].is_toxic for i in range(300)] == [bool(k) for k in kind]
+    assert not got[900].is_toxic and not got[901].is_toxic and got[900]._id == 1 and found.count() == 303
+    if categories:
+        assert [got[i].p_insult > .5 for i in range(300)] == ["blockhead" in k for k in kind]
+        assert [got[i].p_contempt > .5 for i in range(300)] == ["loathsome" in k for k in kind]
+    else:  # the kinds are found from the words alone
+        likely = [max(range(3), key=lambda j, i=i: got[i][f"p_kind_{j + 1}"]) for i in range(300)]
+        assert {len({x for x, k in zip(likely, kind) if k == text}) for text in set(kind) - {""}} == {1}
+        assert len({x for x, k in zip(likely, kind) if k}) > 1
+    assert toxicity.toxicity(docs, labels.limit(0), categories=categories).where("p_toxic = 0.5").count() == 303
+    assert toxicity.toxicity(docs.limit(0), labels, categories=categories).count() == 0
 
 
 def test_language_scores_sum_to_one(spark):
