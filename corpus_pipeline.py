@@ -17,40 +17,64 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 ORACLE_SQL = None
 
 
-def _columns(df, docs):
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
+def _kept(docs, judge, condition):
+    """The rows of docs that meet a condition on what judge(docs, doc_id, text) adds to them.
+
+    The judge sees the columns under names that no operator uses, so it replaces none of them.
+    """
+    plain = docs.toDF(*[f"document_column_{i}" for i in range(len(docs.columns))])
+    place = {c: plain.columns[i] for i, c in enumerate(docs.columns)}
+    return judge(plain, place["doc_id"], place["text"]).where(condition).select(*plain.columns).toDF(*docs.columns)
 
 
 def accept_quality(spark, docs, sf_dir):
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts, with all their columns, whatever those are called.
+
+    Null and empty texts have no words, which the labellers call bad. Equal rows share their fate; no documents give none.
+    """
     ship(spark)
-    return _columns(quality_model.classify(docs).where("accepted"), docs)
+    return _kept(docs, lambda plain, doc_id, text: quality_model.classify(plain, text), "accepted")
 
 
 def apply_rules(spark, docs, sf_dir):
-    """Documents that the quality rules keep.
+    """Documents that the quality rules keep, with all their columns, whatever those are called.
 
-    The verdict is stored before it filters: pushed below the projection, the filter would repeat all its expressions.
+    Null and empty texts fail. Equal rows share their fate; no documents give none. The verdict is stored before it
+    filters: pushed below the projection, the filter would repeat all its expressions.
     """
-    judged = quality_rules.judge(docs).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("kept").alias("_kept"))
-    return _columns(storage.stored(judged, "quality-rules").where("_kept"), docs)
+    def judged(plain, doc_id, text):
+        verdict = quality_rules.judge(plain, text=text).select(*plain.columns, "kept")
+        return storage.stored(verdict, "quality-rules")
+
+    return _kept(docs, judged, "kept")
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each class of near duplicates, that with the least (doc_id, text), and all without shingles."""
+    """One document of each class of near duplicates, that with the least (doc_id, text), and all without shingles.
+
+    Null and empty texts have no shingles and stay. Of rows equal in id and text one stays. Columns may have any names.
+    """
     ship(spark)
     return jaccard_join.least_of_classes(docs)
 
 
 def drop_benchmark_passages(spark, docs, sf_dir):
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item, with all their columns, whatever those are called.
+
+    Null and empty texts have no words and stay. An empty benchmark drops nothing.
+    """
     ship(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _columns(decontamination.contamination(docs, benchmark).where("not contaminated"), docs)
+    return _kept(
+        docs, lambda plain, doc_id, text: decontamination.contamination(plain, benchmark, text=text), "not contaminated"
+    )
 
 
 def encode_and_decode(spark, docs, sf_dir):
-    """The documents with token_ids, n_tokens and decoded."""
+    """The documents with token_ids, n_tokens and decoded, which replace columns of these names; all others stay.
+
+    A null text has no tokens, like an empty one.
+    """
     ship(spark)
     both = bpe_automaton.decode(bpe_automaton.encode(docs, TOKENIZER), TOKENIZER)
     return both.withColumn("n_tokens", F.size("token_ids").cast("long"))
