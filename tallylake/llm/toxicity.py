@@ -101,9 +101,12 @@ def screen(rows, target):
     n, positive = len(rows), target.sum()
     if not n or positive in (0, n):
         return np.zeros(0, np.int64)
-    flat = np.concatenate([r[0] for r in rows])
-    there = np.bincount(flat, minlength=BUCKETS).astype(float)
-    hit = np.bincount(flat, weights=np.repeat(target, [len(r[0]) for r in rows]), minlength=BUCKETS)
+    there, hit = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for at in range(0, n, 1000):
+        part = [r[0] for r in rows[at : at + 1000]]
+        flat, of_rows = np.concatenate(part), np.repeat(target[at : at + 1000], list(map(len, part)))
+        there += np.bincount(flat, minlength=BUCKETS)
+        hit += np.bincount(flat, weights=of_rows, minlength=BUCKETS)
     expected = there * positive / n
     spread = np.maximum(expected * (1 - positive / n) * (1 - there / n), 1e-9)
     chi = np.where(there >= 3, (hit - expected) ** 2 / spread, 0)
