@@ -33,8 +33,8 @@ def days_between(start, end):
 
 
 def days_as_micros(days):
-    """Whole microseconds of a day count: a bigint, so sums of it are exact in any order."""
-    return F.round(days * F.lit(float(MICROS_PER_DAY))).cast("bigint")
+    """Whole microseconds of a day count: a decimal, so sums of it are exact in any order and of any number of rows."""
+    return F.round(days * F.lit(float(MICROS_PER_DAY))).cast("bigint").cast("decimal(38,0)")
 
 
 def round_dp(column, places):

@@ -153,6 +153,20 @@ def test_histogram_of_one_value_and_of_nothing(spark):
     assert analytics.delivery_histogram(totals.where("false")).agg(F.sum("lines")).first()[0] == 0
 
 
+def test_mean_days_of_more_lines_than_a_bigint_of_microseconds_holds(spark):
+    """Twenty million lines of twenty days each are more than 2**63 microseconds."""
+    totals = spark.createDataFrame(
+        [("c1", "delivered", 10.0, 10_000_000, 0, 1.0), ("c1", "delivered", 30.0, 10_000_000, 1, 1.0)],
+        "customer_id string, order_status string, actual_delivery_days double, line_count long, is_delayed int,"
+        " freight_value double",
+    )
+    bins = analytics.delivery_histogram(totals).where("lines > 0")
+    assert rows(bins, "bin", "lines", "mean_days") == [(1, 10_000_000, 20.0), (20, 10_000_000, 20.0)]
+    customers = table(spark, "customers", [customer("c1", state="BA")])
+    sla = analytics.delivery_sla_by_state(totals, customers, "customer_id")
+    assert rows(sla, "customer_state", "total_deliveries", "avg_delivery_days") == [("BA", 20_000_000, 20.0)]
+
+
 def test_empty_slicer_does_not_filter(spark):
     df = table(spark, "customers", [customer("c1", state="RJ"), customer("c2", state="SP")])
     assert analytics.select_lines(df, states=[]).count() == 2
