@@ -41,9 +41,15 @@ def build_silver(spark, bronze, silver_path, fmt="csv", on=None, quarantine=Fals
     return counted.frame(spark)
 
 
-def store_order_tables(orders, items, payments, database, path, buckets):
-    """Orders, lines and payments as catalog tables bucketed by order_id: {name: DataFrame}."""
+def store_order_tables(orders, items, payments, database, path, buckets, rows_per_bucket=1_000_000):
+    """Orders, lines and payments as catalog tables bucketed by order_id: {name: DataFrame}.
+
+    One task sorts and joins a whole bucket. Where the largest table would put more than rows_per_bucket rows in one on
+    average, all tables get more than the given number of buckets, the same for each, so that they still meet.
+    """
     tables = {"orders": orders, "order_items": items, "order_payments": payments}
+    largest = max(df.count() for df in tables.values())
+    buckets = max(buckets, -(-largest // rows_per_bucket))
     return {
         name: write_bucketed(df, f"{database}.{name}", f"{path}/{name}", ["order_id"], buckets)
         for name, df in tables.items()

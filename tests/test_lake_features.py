@@ -42,6 +42,25 @@ def test_bucketed_order_tables_join_without_an_exchange(spark, retail, tmp_path)
         spark.sql("DROP DATABASE bucket_test CASCADE")
 
 
+def test_buckets_grow_with_the_rows(spark, retail, tmp_path):
+    spark.sql("CREATE DATABASE grown_buckets")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = retail.items.count()
+        tables = lakehouse.store_order_tables(
+            retail.orders, retail.items, retail.payments, "grown_buckets", str(tmp_path), 2, rows_per_bucket=n // 6
+        )
+        for name in tables:
+            described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED grown_buckets.{name}").collect()}
+            assert int(described["Num Buckets"]) == -(-n // (n // 6))
+        lines = gold.order_lines(*tables.values(), allocate=True, bucketed=True)
+        assert "Exchange" not in plan_of(lines)
+        assert lines.count() == retail.items.join(retail.orders, "order_id").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE grown_buckets CASCADE")
+
+
 def test_a_hot_order_does_not_hold_the_lines_together(spark):
     """A third of the lines in one order: the join splits its partition when told that it is large."""
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
