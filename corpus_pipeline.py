@@ -73,10 +73,12 @@ def drop_benchmark_passages(spark, docs, sf_dir):
 def encode_and_decode(spark, docs, sf_dir):
     """The documents with token_ids, n_tokens and decoded, which replace columns of these names; all others stay.
 
-    A null text has no tokens, like an empty one.
+    A null text has no tokens, like an empty one. The ids are stored before they are decoded: otherwise every task would
+    hold two Python workers, each with the tokenizer's tables, at the same time.
     """
     ship(spark)
-    both = bpe_automaton.decode(bpe_automaton.encode(docs, TOKENIZER), TOKENIZER)
+    encoded = storage.stored(bpe_automaton.encode(docs, TOKENIZER), "pipeline-ids")
+    both = bpe_automaton.decode(encoded, TOKENIZER)
     return both.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 

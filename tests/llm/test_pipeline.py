@@ -47,6 +47,18 @@ def test_a_stage_keeps_whole_rows_whatever_their_columns_are_called(spark, name,
     assert stage(spark, wide.limit(0), SF_DIR).count() == 0
 
 
+def test_encoding_and_decoding_do_not_share_a_task(spark, odd_docs):
+    """Each pass over Arrow batches has a Python worker of its own in every task: two of them double the memory."""
+    both = corpus_pipeline.encode_and_decode(spark, odd_docs, None)
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow ") == 1
+    texts = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    expected = [(d, t, LIBRARY.encode(t or "", add_special_tokens=False).ids, t or "") for d, t in texts]
+    assert [c.lower() for c in both.columns].count("n_tokens") == 1 and "a.b" in both.columns
+    got = [(r.doc_id, r.text, r.token_ids, r.decoded) for r in both.collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    assert all(r.n_tokens == len(r.token_ids) for r in both.collect())
+
+
 def test_run_is_the_stages_one_after_the_other(spark):
     """All rows of run() against brute force, but for the classifier, whose verdict on each document is taken as it is."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
