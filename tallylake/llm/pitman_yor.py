@@ -8,16 +8,19 @@ sweeps after the first.
 
 Pairs (word before, word) are dealt out to buckets by context, those of hot contexts by the word too; the tables of hot
 contexts are summed on the driver after each sweep. Each sweep sends the tables of every word to the root, dealt out by
-word, and gets the root's seating back: no number is estimated from a part. The seatings are stored, and the scores
-read the very ones that the totals were summed from.
+word, and gets the root's seating back: no number is estimated from a part. The seatings are stored, a file for each
+bucket that its task reads again, and the scores read the very ones that the totals were summed from. Only messages are
+shuffled. What a later round doesn't read is removed, and the texts are scored in PARTS parts, one after the other, so
+that the disk never holds all that the scores exchange.
 """
 
 import zlib
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.llm import storage
@@ -35,6 +38,8 @@ BUCKET_CHARS, LEAST_BUCKETS = 40_000_000, 64
 HOT_SHARE, SAMPLE_CHARS = 1 / 1000, 50_000_000
 #: Slots for the restaurants of hot contexts, at least.
 SLOTS = 256
+#: Parts of the texts that are scored one after the other.
+PARTS = 4
 #: Up to so many customers sit down one by one; later ones in groups of 5 % of those seated.
 ONE_BY_ONE = 64
 
@@ -94,6 +99,25 @@ def _table(rows):
 _SCHEMA = "bucket int, kind string, part long, a binary, b binary, c binary, d binary, e binary"
 
 
+def _put(folder, name, row):
+    """A bucket's row as a file beside the tables that are exchanged."""
+    storage.commit_table(f"{folder}/{name}", f"{row[0]:07d}.arrow", _table([row]))
+
+
+def _get(folder, bucket, names):
+    """A bucket's rows that _put wrote; names: {name: their kind from now on}."""
+    found = [storage.read_table(f"{folder}/{name}", f"{bucket:07d}.arrow") for name in names]
+    return pa.concat_tables([
+        t.set_column(1, "kind", pa.array([kind] * len(t), pa.string())) for t, kind in zip(found, names.values(), strict=True)
+    ])
+
+
+def _beside(table, folder, names):
+    """A group's table with its bucket's rows from the files."""
+    own = _get(folder, _bucket_of(table), names)
+    return pa.concat_tables([table.select(own.column_names).cast(own.schema), own])
+
+
 def _rows(table, *kinds):
     """The rows of some kinds by (kind, part): lists of (part, five blobs)."""
     found = sorted(zip(*[table.column(c).to_pylist() for c in ("kind", "part", *"abcde")]), key=lambda r: r[:2])
@@ -235,8 +259,8 @@ class Seating:
         key = self.context * len(self.words) + self.follow
         return np.searchsorted(key, np.searchsorted(self.contexts, contexts) * len(self.words) + word)
 
-    def messages(self, bucket, buckets, tables, hot, kind):
-        """The tables; their sums by word for the root; sums of the hot contexts, and their tables of hot words."""
+    def messages(self, bucket, buckets, tables, hot):
+        """Sums of the tables by word for the root; sums of the hot contexts, and their tables of hot words."""
         sums = np.bincount(self.follow, weights=tables, minlength=len(self.words))
         counts = np.bincount(self.follow, weights=self.customers, minlength=len(self.words))
         at, there = _place(hot, self.contexts)
@@ -245,8 +269,7 @@ class Seating:
         customers = np.bincount(slot, weights=self.customers[here], minlength=len(hot))
         of_word, is_hot = _place(hot, self.words[self.follow[here]])
         cells = np.stack([slot, of_word, self.customers[here], tables[here]]).astype("<f8")[:, is_hot]
-        out = [(bucket, kind, 0, tables.astype("<u4")),
-               (bucket, "hot", 0, np.bincount(slot, weights=tables[here], minlength=len(hot)), customers, cells)]
+        out = [(bucket, "hot", 0, np.bincount(slot, weights=tables[here], minlength=len(hot)), customers, cells)]
         own = _word_bucket(self.words, buckets)
         for places in np.split(np.arange(len(own)), np.flatnonzero(np.diff(own)) + 1) if len(own) else ():
             out.append((int(own[places[0]]), "word", bucket, self.words[places], sums[places], counts[places]))
@@ -321,51 +344,83 @@ def _root_round(turn, totals, hot):
     return run
 
 
-def _sweep(turn, totals, hot, hot_tables, buckets):
+def _kept_answers(bucket, answers):
+    return bucket, "answer", 0, *answers
+
+
+def _sweep(turn, totals, hot, hot_tables, buckets, folder):
     """New seatings of all pairs, given the tables of the round before."""
     def run(table):
-        bucket, s = _bucket_of(table), Seating(table, buckets)
-        (before,), = _rows(table, "tables")
-        customers, tables, _ = _answers(table, "answer")
+        bucket, answers = _bucket_of(table), _answers(table, "answer")
+        if turn > 1:
+            _put(folder, f"answer{turn}", _kept_answers(bucket, answers))
+        table = _get(folder, bucket, {"state": "state", f"tables{turn}": "tables"})
+        s, ((before,),) = Seating(table, buckets), _rows(table, "tables")
+        customers, tables, _ = answers
         p = root(customers, tables, totals[2], totals[3], 1 / (totals[0] + 1))[s.follow]
         per = s.by_context(np.frombuffer(before[1], "<u4"), hot, hot_tables)[s.context]
         rng = np.random.default_rng([0, turn, bucket])
         t = seat(s.customers, (STRENGTH + DISCOUNT * per) * p, DISCOUNT, rng)
-        return _table(s.messages(bucket, buckets, t, hot, "tables"))
+        _put(folder, f"tables{turn + 1}", (bucket, "tables", 0, t.astype("<u4")))
+        return _table(s.messages(bucket, buckets, t, hot))
 
     return run
 
 
-def _sample(docs, buckets, size):
-    """The model, its table of hot words, and the stored rows of the seatings that the scores are averaged over."""
+def _seatings(docs, buckets, size):
+    """The model, its table of hot words, the folder of the seatings, and the names in it that scores are averaged over."""
     hot = _hot_words(docs, size)
-    model = Model(hot)
+    model, folder = Model(hot), storage.new_folder(docs.sparkSession, "language-seatings")
 
     def begin(table):
         bucket, s = _bucket_of(table), Seating(table, buckets)
-        return _table([s.row(bucket), *s.messages(bucket, buckets, np.minimum(s.customers, 1), hot, "tables")])
+        t = np.minimum(s.customers, 1)
+        _put(folder, "state", s.row(bucket))
+        _put(folder, "tables0", (bucket, "tables", 0, t.astype("<u4")))
+        return _table(s.messages(bucket, buckets, t, hot))
+
+    def keep(table):
+        bucket = _bucket_of(table)
+        _put(folder, f"answer{SWEEPS}", _kept_answers(bucket, _answers(table, "answer")))
+        return _table([])
 
     now = storage.stored(_count_rows(docs, buckets, hot).groupBy("bucket").applyInArrow(begin, _SCHEMA), "language-scores")
-    state = now.where("kind = 'state'")
-    kept, of_words, of_cells, totals = state, [], [], None
+    names, of_words, of_cells, totals = {"state": "state"}, [], [], None
     for turn in range(SWEEPS + 1):
         hot_tables, cells = model.take(now)
         run = _root_round(turn, totals, hot)
         answers = storage.stored(now.where("kind = 'word'").groupBy("bucket").applyInArrow(run, _SCHEMA), "language-scores")
+        storage.discarded(now)
         sums = answers.where("kind = 'sums'").select("a", "b").collect()
         totals = sum((np.frombuffer(r.a, "<f8") for r in sums), np.zeros(4))
-        both = now.where("kind = 'tables'").union(answers.where("kind = 'answer'"))
         if turn > 1:
+            names |= {f"tables{turn}": f"tables{len(of_cells)}", f"answer{turn}": f"answer{len(of_cells)}"}
             model.tables.append(hot_tables)
             model.root.append(totals[2:])
             of_words.append(np.concatenate([np.zeros((4, 0)), *[np.frombuffer(r.b, "<f8").reshape(4, -1) for r in sums]], axis=1))
             of_cells.append(cells)
-            kept = kept.union(both.withColumn("kind", F.concat("kind", F.lit(str(len(of_cells) - 1)))))
-        if turn < SWEEPS:
-            run = _sweep(turn, totals, hot, hot_tables, buckets)
-            now = storage.stored(state.union(both).groupBy("bucket").applyInArrow(run, _SCHEMA), "language-scores")
+        run = _sweep(turn, totals, hot, hot_tables, buckets, folder) if turn < SWEEPS else keep
+        now = storage.stored(answers.where("kind = 'answer'").groupBy("bucket").applyInArrow(run, _SCHEMA), "language-scores")
+        storage.discarded(answers)
+        if turn < 2:
+            storage.removed(f"{folder}/tables{turn}")
+    storage.discarded(now)
     model.n_words, model.n_tokens = totals[:2]
-    return model, model.hot_table(of_words, of_cells), kept
+    return model, model.hot_table(of_words, of_cells), folder, names
+
+
+def _sample(docs, buckets, size):
+    """The model, its table of hot words, and the rows of the seatings that the scores are averaged over."""
+    model, hot_table, folder, names = _seatings(docs, buckets, size)
+    there = storage.list_files(f"{folder}/state", (".arrow",))
+    numbers = [(int(uri.rpartition("/")[2].removesuffix(".arrow")),) for uri, _ in there]
+
+    def run(batches):
+        for batch in batches:
+            for bucket in batch.column("bucket").to_pylist():
+                yield from _get(folder, bucket, names).to_batches()
+
+    return model, hot_table, docs.sparkSession.createDataFrame(numbers, "bucket int").mapInArrow(run, _SCHEMA)
 
 
 def _fit(docs, buckets):
@@ -392,7 +447,7 @@ def _score_rows(docs, buckets, hot_table):
                 rows.append((bucket, "ask", step, *_runs(contexts[at]), follow[at]))
             names = pa.array(ids, pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").view("u1")
             rows.append((
-                buckets + step % buckets, "docs", step, np.append(names, np.array([d is None for d in ids], "u1")),
+                buckets + (step + (step >> 24)) % buckets, "docs", step, np.append(names, np.array([d is None for d in ids], "u1")),
                 np.append(np.bincount(number, minlength=n), np.bincount(number[~here], minlength=n)).astype("<u4"), rank[which],
                 np.append(np.bincount(who, log_counts[w], n), np.bincount(who, logs[w, u], n)).astype("<f8"),
                 np.bincount(who, counts[w] > 0, n).astype("<u4"),
@@ -462,9 +517,17 @@ def language_scores(docs, doc_id="doc_id", text="text"):
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-int(size) // BUCKET_CHARS))
-    model, hot_table, seatings = _sample(docs, buckets, size)
-    values = seatings.union(_score_rows(docs, buckets, hot_table)).groupBy("bucket").applyInArrow(
-        lambda table: _score_bucket(table, buckets, model), _SCHEMA
-    )
+    model, hot_table, folder, names = _seatings(docs, buckets, size)
+
+    def score(table):
+        asked = _bucket_of(table) < buckets
+        return _score_bucket(_beside(table, folder, names) if asked else table, buckets, model)
+
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return values.groupBy("part").applyInArrow(lambda table: _sum_step(table, model), out)
+    scored = []
+    for part in range(PARTS):
+        chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS)) == part)
+        values = _score_rows(chosen, buckets, hot_table).groupBy("bucket").applyInArrow(score, _SCHEMA)
+        scored.append(storage.stored(values.groupBy("part").applyInArrow(lambda table: _sum_step(table, model), out), "language-scores"))
+    storage.removed(folder)
+    return reduce(DataFrame.union, scored)

@@ -1,9 +1,14 @@
 """Folders that driver and executors share, and files in them."""
 
 import uuid
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyarrow import fs
 
+#: Lets Spark remove a statement's shuffle files when the statement has ended, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_root(spark):
     """spark.checkpoint.dir where the cluster names one, else the warehouse, which is shared as well."""
@@ -16,11 +21,29 @@ def new_folder(spark, name):
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark):
+    """Statements that run inside leave no shuffle files on the disk; the session's own setting holds again after it."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stored(df, name):
-    """df written as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
+    """df written as Parquet to the shared folder and read back: cuts lineage, survives lost executors.
+
+    The shuffle files that the writing took are removed at its end: nothing reads them again.
+    """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,6 +65,34 @@ def commit_file(folder, name, write):
     return name
 
 
+def commit_table(folder, name, table):
+    """An Arrow table as one compressed file of a folder."""
+    def write(out):
+        with pa.ipc.new_file(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as file:
+            file.write_table(table)
+
+    return commit_file(folder, name, write)
+
+
+def read_table(folder, name):
+    system, path = locate(f"{folder}/{name}")
+    with system.open_input_file(path) as file:
+        return pa.ipc.open_file(file).read_all()
+
+
+def removed(folder):
+    """Remove a folder of this run that nothing reads any more."""
+    system, path = locate(folder)
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        system.delete_dir(path)
+
+
+def discarded(df):
+    """Remove what stored() wrote, when nothing reads it any more."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        removed(folder)
+
+
 def list_files(folder, suffixes):
     """(address, bytes) of the finished files of a folder, or of one file, by name."""
     system, path = locate(folder)

@@ -1,11 +1,14 @@
 import collections
+import glob
 import math
+import os
 import random
 
 import numpy as np
 import xxhash
 
 from tallylake.llm import pitman_yor as py
+from tallylake.llm import storage
 
 
 def _pairs(text):
@@ -100,3 +103,16 @@ def kept8(spark, docs):
     )
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return {r.doc_id: r.score for r in values.groupBy("part").applyInArrow(lambda t: py._sum_step(t, model), out).collect()}
+
+
+def test_scoring_leaves_nothing_on_the_disk_but_the_scores(spark):
+    """The messages of the rounds and the seatings go when no later round reads them, and scores are whole in parts."""
+    docs = spark.createDataFrame([(i % 50, f"some words {i % 9} and more") for i in range(200)] + [(None, None)], "doc_id long, text string")
+    root = storage.shared_root(spark).removeprefix("file://")
+    before = set(glob.glob(f"{root}/*"))
+    got = py.language_scores(docs)
+    left = [n for f in set(glob.glob(f"{root}/*")) - before for n in glob.glob(f"{f}/**", recursive=True) if os.path.isfile(n)]
+    assert left and {tuple(spark.read.parquet(n).columns) for n in left if n.endswith(".parquet")} == {tuple(got.columns)}
+    assert not [n for n in left if n.endswith(".arrow")]
+    assert sorted(r.doc_id for r in got.where("doc_id is not null").collect()) == sorted(i % 50 for i in range(200))
+    assert got.where("doc_id is null").count() == 1
