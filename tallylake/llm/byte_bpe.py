@@ -209,13 +209,17 @@ class PieceTable:
     def _slots(self, pieces, spaced):
         known = self.slot[spaced]
         found = list(map(known.get, pieces))
-        new = list(dict.fromkeys(p for p, s in zip(pieces, found) if s is None))
-        if not new:
+        places = [i for i, s in enumerate(found) if s is None]
+        if not places:
             return found
+        new = list(dict.fromkeys(map(pieces.__getitem__, places)))
         results = self._solved(new, spaced)
-        known.update(zip(new, self._add(results)))
+        slots = dict(zip(new, self._add(results), strict=True))
+        known.update(slots)
         self.bytes += sum(map(len, new)) + sum(map(len, results))
-        return list(map(known.__getitem__, pieces))
+        for i in places:
+            found[i] = slots[pieces[i]]
+        return found
 
     def _solved(self, new, spaced):
         """Ids of new words as bytes. Words of letters are solved as they are, others by their pre-tokens: of these,
@@ -294,7 +298,8 @@ class PieceTable:
             slots = np.concatenate(parts)
         sizes = self.size[slots]
         ends = np.cumsum(sizes)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[slots] - (ends - sizes), sizes)
+        places = np.repeat(self.start[slots] - (ends - sizes), sizes)
+        places += np.arange(len(places))
         return self.ids[places], np.concatenate([[0], ends])[offsets]
 
 

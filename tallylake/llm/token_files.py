@@ -21,6 +21,8 @@ from tallylake.llm.arrow_columns import steps
 MAGIC = b"TIDPACK1"
 BLOCK = 4096
 LANES = 64
+#: Characters of text that one step of the writer looks up: words repeat, so larger steps look up fewer.
+STEP = 6_000_000
 TRAILER = struct.Struct("<QQQQB8s")  # place of the index, documents, ids, blocks, bits, magic
 
 
@@ -184,7 +186,7 @@ def write_tokens(docs, path, folder, end_id=0, doc_id="doc_id", text="text"):
         def write(out):
             writer = Writer(out, bits_for(max(bpe.size, end_id + 1)))
             for batch in batches:
-                for start, size in steps(batch.column("text")):
+                for start, size in steps(batch.column("text"), STEP):
                     part = batch.slice(start, size)
                     ids, ends = table.encode(part.column("text"))
                     # The end id after each document's ids.

@@ -91,3 +91,25 @@ def test_pieces_join_to_the_text():
     text = "a  b\n c  \n d "
     first, rest = byte_bpe.pieces(text)
     assert " ".join([first, *rest]) == text
+
+
+def test_known_words_are_looked_up_once_a_column():
+    class Counted(dict):
+        lookups = 0
+
+        def get(self, key):
+            self.lookups += 1
+            return super().get(key)
+
+        def __getitem__(self, key):
+            self.lookups += 1
+            return super().__getitem__(key)
+
+    table = byte_bpe.PieceTable(byte_bpe.load(PATH), lambda words: [np.array(ids(w), "i4").tobytes() for w in words], "i4")
+    words = [f"word{chr(97 + i % 26)}{'x' * (i // 26)}".replace("0", "") for i in range(80)]
+    table.encode(pa.array(["start " + " ".join(words)]))
+    table.slot[True] = known = Counted(table.slot[True])
+    text = "start " + " ".join([*words, "newcomer", *words, "newcomer"])
+    found, ends = table.encode(pa.array([text, text]))
+    assert [found[a:b].tolist() for a, b in zip(ends, ends[1:])] == [ids(text)] * 2
+    assert known.lookups <= len(words) + 2
