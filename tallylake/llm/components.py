@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallylake.llm.storage import stored
+from tallylake.llm.storage import discarded, shuffles_removed, stored
 
 
 def _down(edges):
@@ -34,9 +34,11 @@ def connected_components(edges, most_rounds=60):
         roles = now.select(F.col("a").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).union(
             now.select("b", F.lit(0), F.lit(1)).distinct()
         )
-        if roles.groupBy("node").agg((F.sum("leaf") + F.sum("centre")).alias("n")).where("n > 1").isEmpty():
-            break
-        now = stored(_contract(now), "components")
+        with shuffles_removed(edges.sparkSession):
+            if roles.groupBy("node").agg((F.sum("leaf") + F.sum("centre")).alias("n")).where("n > 1").isEmpty():
+                break
+        before, now = now, stored(_contract(now), "components")
+        discarded(before)
     else:
         raise RuntimeError("components did not settle")
     return now.toDF("node", "component").union(

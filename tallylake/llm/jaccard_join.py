@@ -30,6 +30,8 @@ BAND_GROWTH, BUCKET_ROWS = 1.5, 2_000_000
 FREQUENT, LEAST_STEPS = 1 << 17, 3
 #: Rounds in which groups are compared with one member; what is then still apart is compared by its rarest shingles.
 STAR_ROUNDS = 2
+#: Up to so many nodes are sent to all tasks to choose sets by; of more, the sets are shuffled.
+SENT_NODES = 300_000
 #: 64-bit words of a set's parity bits.
 PARITY_WORDS = 8
 
@@ -297,11 +299,19 @@ _WORDS = [f"w{i}" for i in range(PARITY_WORDS)]
 _ALIKE = " + ".join(f"bit_count({w}_a ^ {w}_b)" for w in _WORDS) + f" <= n_a + n_b - 2 * {_COMMON}"
 
 
+def _only(sets, nodes):
+    """The sets of some nodes, given as a stored column of their name; the others aren't shuffled if the nodes are few."""
+    few = nodes.count() <= SENT_NODES
+    return sets.join((F.broadcast(nodes) if few else nodes).toDF("node"), "node", "left_semi")
+
+
 def _verified(pairs, sets, parities):
     """Those of the pairs (a, b) of nodes whose sets are similar enough: first by parity bits, then by shingles."""
     for side in ("a", "b"):
         pairs = pairs.join(parities.toDF(side, f"n_{side}", *[f"{w}_{side}" for w in _WORDS]), side)
     pairs = storage.stored(pairs.where(_ALIKE).select("a", "b"), "links")
+    nodes = storage.stored(pairs.select("a").union(pairs.select("b")).distinct(), "links")
+    sets = storage.stored(_only(sets, nodes), "links")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
 
@@ -377,7 +387,7 @@ def _prefix_matches(apart, sets, parities, frequent, buckets):
 
     names = ["bucket", "often", "shingles", "owners", "nodes", "components", "sizes"]
     given = apart.select(F.col("node").alias("nodes"), F.xxhash64("component").alias("components"), F.col("n").alias("sizes"))
-    dealt = given.join(sets, F.expr("node = nodes")).select("shingles", "nodes", "components", "sizes").mapInArrow(
+    dealt = given.join(_only(sets, apart.select("node").toDF("own")), F.expr("node = nodes")).select("shingles", "nodes", "components", "sizes").mapInArrow(
         deal, "bucket int, often boolean, shingles binary, owners binary, nodes binary, components binary, sizes binary"
     )
     met = dealt.groupBy("bucket").applyInArrow(meet, "shingle long, node binary, component long, n long, held long")
@@ -392,7 +402,10 @@ def _prefix_matches(apart, sets, parities, frequent, buckets):
     places = places.select(F.col("s.shingle").alias("shingle"), "node", "component", "n", left, *_WORDS)
     places = storage.stored(places, "links")
     joining = places.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    places = storage.stored(places.join(joining.where("low <> high").select("shingle"), "shingle", "left_semi"), "links")
+    every, places = places, storage.stored(
+        places.join(joining.where("low <> high").select("shingle"), "shingle", "left_semi"), "links"
+    )
+    storage.discarded(every)
     one, two = [
         places.toDF("shingle", side, f"component_{side}", f"n_{side}", f"left_{side}", *[f"{w}_{side}" for w in _WORDS])
         for side in ("a", "b")

@@ -221,3 +221,27 @@ def test_warc(spark, tmp_path):
     assert sorted(bytes(r.payload) for r in foreign) == sorted([b"body0", b"body1", b"body2"] * 2)
     empty = warc.write_warc(pages.limit(0), storage.new_folder(spark, "warc"))
     assert warc.read_warc(spark, empty).count() == 0
+
+
+def test_sets_are_not_shuffled_to_choose_a_few(spark, monkeypatch):
+    """Few nodes go to all tasks, however small tables Spark itself would send; many are joined as usual."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    sets = storage.stored(spark.range(50).selectExpr("cast(cast(id AS string) AS binary) AS node", "id AS shingles"), "test")
+    nodes = storage.stored(sets.where("shingles % 7 = 0").select(F.col("node").alias("a")), "test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, join in ((7, "SortMergeJoin"), (8, "BroadcastHashJoin")):
+            monkeypatch.setattr(jaccard_join, "SENT_NODES", most)
+            chosen = jaccard_join._only(sets, nodes)
+            assert join in chosen._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r.shingles for r in chosen.collect()) == list(range(0, 50, 7))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_components_leave_one_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "shared_root", lambda spark: str(tmp_path))
+    edges = spark.range(40).selectExpr("id AS a", "id + 1 AS b")
+    got = {r.node: r.component for r in components.connected_components(edges).collect()}
+    assert got == dict.fromkeys(range(41), 0)
+    assert len(list(tmp_path.iterdir())) == 1
